@@ -1,6 +1,6 @@
 """All registered queries, with the SQL each must agree with."""
 
-from cohort_spark.catalog import shaping  # noqa: F401
+from cohort_spark.catalog import shaping, cleaning, filling  # noqa: F401
 from cohort_spark.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohort_spark.catalog.registry import Tables
-from cohort_spark.functions.numeric import half_up
+from cohort_spark.functions.numeric import half_up, nudge
 from cohort_spark.operators.reshape import discretize, pivot_first
 
 VARIABLES = ["click", "error", "purchase", "signup", "view"]
@@ -65,7 +65,7 @@ def cols_sql(template: str, cols: Sequence[str] = VARIABLES) -> str:
 
 
 def round_sql(expr: str, digits: int = 6) -> str:
-    return f"round({expr}, {digits}) + 0.0"
+    return f"round({expr} + {nudge(digits)!r}::double, {digits}) + 0.0"
 
 
 OBS_SQL = """obs as (

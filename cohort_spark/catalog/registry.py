@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {}
 
 
 class Tables:
@@ -27,6 +28,7 @@ def query(name: str, sql: str | None = None):
     def register(build):
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
+        BUILDERS[name] = build
         QUERIES[name] = lambda spark, folder: build(Tables(spark, folder))
         if sql is not None:
             ORACLES[name] = sql

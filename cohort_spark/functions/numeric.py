@@ -30,6 +30,12 @@ def two_decimals(col: Column) -> Column:
     return col.cast("decimal(28,2)").cast("string")
 
 
+def nudge(digits: int) -> float:
+    """A shift far below the last digit kept."""
+    return 10.0 ** -(digits + 2) / 3
+
+
 def half_up(col: Column, digits: int = 6) -> Column:
-    """Rounded, and without negative zero."""
-    return F.round(col, digits) + F.lit(0.0)
+    """Rounded for comparison across engines: exact ties, which engines break differently, are nudged upwards
+    first, and negative zero is removed."""
+    return F.round(col + F.lit(nudge(digits)), digits) + F.lit(0.0)

@@ -60,8 +60,8 @@ def forward_fill(
 
 def _between(t: Column, pt: Column, pv: Column, nt: Column, nv: Column) -> Column:
     """Linear in time between two knots; the nearer knot alone where the other is missing."""
-    share = F.try_divide(seconds_between(pt, t), seconds_between(pt, nt))
-    return F.when(pv.isNull(), nv).when(nv.isNull(), pv).otherwise(F.coalesce(pv + (nv - pv) * share, pv))
+    rise = F.try_divide((nv - pv) * seconds_between(pt, t), seconds_between(pt, nt))
+    return F.when(pv.isNull(), nv).when(nv.isNull(), pv).otherwise(pv + F.coalesce(rise, F.lit(0.0)))
 
 
 def interpolate_time(
