@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cohort_spark.functions.time import seconds_between
 from cohort_spark.operators.quality import replace_columns
 from cohort_spark.operators.reshape import melt
-from cohort_spark.plans.chunks import attach, nearest_known, time_chunk
+from cohort_spark.plans.chunks import attach, nearest_known, time_chunk, with_parameters
 from cohort_spark.plans.runs import exact_quantiles
 
 MONTH_HOURS = 24 * 30
@@ -129,14 +129,13 @@ def impute_features(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
     tidy = df.select(*[finite(c).alias(c) for c in cols])
     ends = tidy.agg(*[F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in cols])
-    ends = ends.select(F.struct(*cols).alias("ends")).scalar()
     medians = exact_quantiles(melt(tidy, [], cols), "value", {"median": 0.5}, ["variable"])
-    median = medians.agg(*[F.max(F.when(F.col("variable") == c, F.col("median"))).alias(c) for c in cols])
-    median = median.select(F.struct(*cols).alias("median")).scalar()
+    medians = medians.agg(*[F.max(F.when(F.col("variable") == c, F.col("median"))).alias(c) for c in cols])
 
     def filled(c: str) -> Column:
         x = F.col(c).cast("double")
-        known = F.when(x == infinite, ends[c]["high"]).when(x == -infinite, ends[c]["low"]).otherwise(finite(c))
-        return F.coalesce(known, median[c], F.lit(0.0))
+        known = F.when(x == infinite, F.col(f"__ends.{c}.high")).when(x == -infinite, F.col(f"__ends.{c}.low"))
+        return F.coalesce(known.otherwise(finite(c)), F.col(f"__medians.{c}"), F.lit(0.0))
 
-    return replace_columns(df, {c: filled(c) for c in cols})
+    fitted = with_parameters(with_parameters(df, ends, "__ends"), medians, "__medians")
+    return replace_columns(fitted, {c: filled(c) for c in cols}).select(*df.columns)

@@ -1,6 +1,6 @@
 """Scaling with parameters fitted on one frame and applied to any other.
 
-A fit is one row of parameters.  It enters the projection as scalar subqueries, so applying it costs no
+A fit is one row of parameters.  It reaches the projection as a scalar subquery, so applying it costs no
 join and no driver round trip.
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cohort_spark.operators.quality import replace_columns
 from cohort_spark.operators.reshape import melt
+from cohort_spark.plans.chunks import with_parameters
 from cohort_spark.plans.runs import exact_quantiles
 
 # Measurements that are close to normally distributed and get the standard scaler.
@@ -26,39 +27,34 @@ def _nonzero(width: Column) -> Column:
     return F.when(width == 0, F.lit(1.0)).otherwise(width)
 
 
-def _fit_moments(fit_on: DataFrame, cols: Sequence[str]) -> dict[str, tuple[Column, Column]]:
-    row = fit_on.agg(
-        *[F.struct(F.avg(c).alias("at"), F.stddev_pop(c).alias("width")).alias(c) for c in cols]
-    ).select(F.struct(*cols).alias("fit")).scalar()
-    return {c: (row[c]["at"], row[c]["width"]) for c in cols}
+def _fit_moments(fit_on: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return fit_on.agg(*[F.struct(F.avg(c).alias("at"), F.stddev_pop(c).alias("width")).alias(c) for c in cols])
 
 
-def _fit_range(fit_on: DataFrame, cols: Sequence[str]) -> dict[str, tuple[Column, Column]]:
-    row = fit_on.agg(
-        *[F.struct(F.min(c).alias("at"), (F.max(c) - F.min(c)).alias("width")).alias(c) for c in cols]
-    ).select(F.struct(*cols).alias("fit")).scalar()
-    return {c: (row[c]["at"], row[c]["width"]) for c in cols}
+def _fit_range(fit_on: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return fit_on.agg(*[F.struct(F.min(c).alias("at"), (F.max(c) - F.min(c)).alias("width")).alias(c) for c in cols])
 
 
-def _fit_quartiles(fit_on: DataFrame, cols: Sequence[str], accuracy: int | None) -> dict[str, tuple[Column, Column]]:
-    if accuracy is None:
-        probs = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
-        found = exact_quantiles(melt(fit_on, [], cols), "value", probs, ["variable"])
-        row = found.agg(
-            *[F.max(F.when(F.col("variable") == c, F.struct("q1", "q2", "q3"))).alias(c) for c in cols]
+def _fit_quartiles(fit_on: DataFrame, cols: Sequence[str], accuracy: int | None) -> DataFrame:
+    if accuracy is not None:
+        found = fit_on.agg(*[F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy).alias(c) for c in cols])
+        return found.select(
+            *[F.struct(F.col(c)[1].alias("at"), (F.col(c)[2] - F.col(c)[0]).alias("width")).alias(c) for c in cols]
         )
-    else:
-        quartiles = [F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy).alias(c) for c in cols]
-        row = fit_on.agg(*quartiles)
-        row = row.select(
-            *[F.struct(*[F.col(c)[i].alias(f"q{i + 1}") for i in range(3)]).alias(c) for c in cols]
-        )
-    fit = row.select(F.struct(*cols).alias("fit")).scalar()
-    return {c: (fit[c]["q2"], fit[c]["q3"] - fit[c]["q1"]) for c in cols}
+    probs = {"q1": 0.25, "at": 0.5, "q3": 0.75}
+    found = exact_quantiles(melt(fit_on, [], cols), "value", probs, ["variable"])
+    centre = F.struct("at", (F.col("q3") - F.col("q1")).alias("width"))
+    return found.agg(*[F.max(F.when(F.col("variable") == c, centre)).alias(c) for c in cols])
 
 
-def _apply(df: DataFrame, fits: dict[str, tuple[Column, Column]]) -> DataFrame:
-    return replace_columns(df, {c: (F.col(c) - at) / _nonzero(width) for c, (at, width) in fits.items()})
+def _apply(df: DataFrame, *fits: DataFrame) -> DataFrame:
+    out, new = df, {}
+    for i, fit in enumerate(fits):
+        out = with_parameters(out, fit, f"__fit{i}")
+        for c in fit.columns:
+            at, width = F.col(f"__fit{i}.{c}.at"), F.col(f"__fit{i}.{c}.width")
+            new[c] = (F.col(c) - at) / _nonzero(width)
+    return replace_columns(out, new).select(*df.columns)
 
 
 def standard_scale(df: DataFrame, fit_on: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -87,9 +83,9 @@ def scale_mixed(
     cols = [c for c in df.columns if c not in skip]
     moments = [c for c in cols if c in normal]
     quartiles = [c for c in cols if c not in normal]
-    fits = _fit_moments(fit_on, moments) if moments else {}
-    fits |= _fit_quartiles(fit_on, quartiles, accuracy) if quartiles else {}
-    return _apply(df, fits)
+    fits = [_fit_moments(fit_on, moments)] if moments else []
+    fits += [_fit_quartiles(fit_on, quartiles, accuracy)] if quartiles else []
+    return _apply(df, *fits)
 
 
 def scale_basic(
@@ -108,14 +104,13 @@ def minmax_scale_by_split(
         x = F.when(F.col(split) == s, F.col(c))
         return F.struct(F.min(x).alias("at"), (F.max(x) - F.min(x)).alias("width")).alias(s)
 
-    row = df.agg(*[F.struct(*[ends(c, s) for s in splits]).alias(c) for c in cols])
-    fit = row.select(F.struct(*cols).alias("fit")).scalar()
+    fit = df.agg(*[F.struct(*[ends(c, s) for s in splits]).alias(c) for c in cols])
 
     def scaled(c: str) -> Column:
         out = F.lit(None).cast("double")
         for s in splits:
-            at, width = fit[c][s]["at"], fit[c][s]["width"]
+            at, width = F.col(f"__fit.{c}.{s}.at"), F.col(f"__fit.{c}.{s}.width")
             out = F.when(F.col(split) == s, (F.col(c) - at) / _nonzero(width)).otherwise(out)
         return out
 
-    return replace_columns(df, {c: scaled(c) for c in cols})
+    return replace_columns(with_parameters(df, fit, "__fit"), {c: scaled(c) for c in cols}).select(*df.columns)

@@ -49,6 +49,15 @@ def attach(
     return joined.select("l.*", *[F.col(f"r.{c}") for c in extra])
 
 
+def with_parameters(df: DataFrame, parameters: DataFrame, name: str) -> DataFrame:
+    """Add a one-row frame of fitted parameters as one struct column.
+
+    It is a scalar subquery: Spark runs it once and hands the row to every task, without a join.  Refer to
+    it through the column, so that it is planned once however many expressions use it.
+    """
+    return df.withColumn(name, parameters.select(F.struct("*")).scalar())
+
+
 def number_rows(
     df: DataFrame, by: Sequence[str], order: Sequence[str], name: str, chunk: Column | None = None
 ) -> DataFrame:
