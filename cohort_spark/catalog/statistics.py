@@ -265,7 +265,7 @@ u as (select feature, sum(r) filter (where label = 1) - count(*) filter (where l
     distinct_values, positives, negatives, n from u join ties using (feature)""",
 )
 def _(t):
-    return rounded(features.rank_sums(relevance_long(t)), ["z"])
+    return rounded(features.rank_sums(relevance_long(t)), ["z"]).drop("low_pos", "low_neg")
 
 
 @query(

@@ -65,6 +65,7 @@ def rank_sums(long: DataFrame, feature: str = "feature", value: str = "value", l
 
     Average ranks come from running totals over distinct values, so no feature is ranked in one task.
     ``z`` is the tie-corrected normal score with continuity correction; null for a constant feature.
+    ``low_pos`` and ``low_neg`` count the labels at the smallest value.
     """
     weights = {
         "pos": (F.col(label) == 1).cast("bigint"),
@@ -81,12 +82,16 @@ def rank_sums(long: DataFrame, feature: str = "feature", value: str = "value", l
         F.max("pos_all").alias("positives"),
         F.max("neg_all").alias("negatives"),
         F.max("n_all").alias("n"),
+        F.max(F.when(F.col("n_before") == 0, F.col("pos"))).alias("low_pos"),
+        F.max(F.when(F.col("n_before") == 0, F.col("neg"))).alias("low_neg"),
     )
     n, p, q = F.col("n").cast("double"), F.col("positives").cast("double"), F.col("negatives").cast("double")
     spread = F.sqrt(F.greatest(p * q / 12.0 * (n + 1.0 - F.try_divide(F.col("ties"), n * (n - 1.0))), F.lit(0.0)))
     away = F.col("u") - p * q / 2.0
     z = F.try_divide(F.signum(away) * F.greatest(F.abs(away) - 0.5, F.lit(0.0)), spread)
-    return sums.select(feature, "u", z.alias("z"), "distinct_values", "positives", "negatives", "n")
+    return sums.select(
+        feature, "u", z.alias("z"), "distinct_values", "positives", "negatives", "n", "low_pos", "low_neg"
+    )
 
 
 def two_by_two(long: DataFrame, feature: str = "feature", value: str = "value", label: str = "label") -> DataFrame:
@@ -115,6 +120,8 @@ def fisher_p(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Serie
 
     def one(a: int, b: int, c: int, d: int) -> float:
         rows, cols, n = a + b, a + c, a + b + c + d
+        if n == 0:
+            return 1.0
         middle = rows * cols / n
         sd = math.sqrt(middle * (n - rows) / n * (n - cols) / max(n - 1, 1))
         # the mass outside forty deviations is below double precision
@@ -141,15 +148,15 @@ def feature_relevance(
     Constant features are left out.
     """
     joined = attach(features, labels.select(entity, label), [entity], "inner")
-    long = melt(joined, [entity, label], cols, "feature", "value")
-    ranked = rank_sums(long, label=label).where("distinct_values > 1")
-    table = two_by_two(long, label=label)
-    both = attach(ranked, table, ["feature"])
-    real = both.where("distinct_values > 2").select("feature", F.lit("real").alias("kind"), normal_p("z").alias("p"))
-    binary = both.where("distinct_values = 2").select(
-        "feature", F.lit("binary").alias("kind"), fisher_p("high_pos", "high_neg", "low_pos", "low_neg").alias("p")
+    stats = rank_sums(melt(joined, [entity, label], cols, "feature", "value"), label=label)
+    binary = F.col("distinct_values") == 2
+    low_pos, low_neg = F.coalesce("low_pos", F.lit(0)), F.coalesce("low_neg", F.lit(0))
+    fisher = fisher_p(F.col("positives") - low_pos, F.col("negatives") - low_neg, low_pos, low_neg)
+    return stats.where("distinct_values > 1").select(
+        "feature",
+        F.when(binary, "binary").otherwise("real").alias("kind"),
+        F.when(binary, fisher).otherwise(normal_p(F.coalesce("z", F.lit(0.0)))).alias("p"),
     )
-    return real.unionByName(binary)
 
 
 def select_relevant(p_values: DataFrame, fdr: float = 0.05, feature: str = "feature", p: str = "p") -> DataFrame:

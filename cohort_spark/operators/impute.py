@@ -127,15 +127,15 @@ def impute_features(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
         return F.when(F.abs(x) < infinite, x)
 
-    tidy = df.select(*[finite(c).alias(c) for c in cols])
-    ends = tidy.agg(*[F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in cols])
-    medians = exact_quantiles(melt(tidy, [], cols), "value", {"median": 0.5}, ["variable"])
-    medians = medians.agg(*[F.max(F.when(F.col("variable") == c, F.col("median"))).alias(c) for c in cols])
+    tidy = melt(df.select(*[finite(c).alias(c) for c in cols]), [], cols)
+    found = exact_quantiles(tidy, "value", {"low": 0.0, "median": 0.5, "high": 1.0}, ["variable"])
+    row = found.agg(
+        *[F.max(F.when(F.col("variable") == c, F.struct("low", "median", "high"))).alias(c) for c in cols]
+    )
 
     def filled(c: str) -> Column:
-        x = F.col(c).cast("double")
-        known = F.when(x == infinite, F.col(f"__ends.{c}.high")).when(x == -infinite, F.col(f"__ends.{c}.low"))
-        return F.coalesce(known.otherwise(finite(c)), F.col(f"__medians.{c}"), F.lit(0.0))
+        x, fit = F.col(c).cast("double"), F.col(f"__fit.{c}")
+        known = F.when(x == infinite, fit["high"]).when(x == -infinite, fit["low"]).otherwise(finite(c))
+        return F.coalesce(known, fit["median"], F.lit(0.0))
 
-    fitted = with_parameters(with_parameters(df, ends, "__ends"), medians, "__medians")
-    return replace_columns(fitted, {c: filled(c) for c in cols}).select(*df.columns)
+    return replace_columns(with_parameters(df, row, "__fit"), {c: filled(c) for c in cols}).select(*df.columns)
