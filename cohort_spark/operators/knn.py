@@ -34,13 +34,17 @@ def _tuple_key(split: str, cols: Sequence[str]) -> Column:
     return F.md5(F.concat_ws("|", *[F.coalesce(v.cast("string"), F.lit("~")) for v in values]))
 
 
-def _with_cells(donors: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Add the cell number; its digits are the slices of the columns, 0 for a missing value."""
+def _cuts(pool: DataFrame, cols: Sequence[str], rows: int) -> tuple[int, list[list[float]]]:
+    """Slices per column and the cut points between them; rough quantiles do, as cuts only balance the work."""
     most = max(1, int(MOST_CELLS ** (1 / len(cols)) + 1e-9) - 1)
-    per_column = min(most, max(1, round((donors.count() / CELL_ROWS) ** (1 / len(cols)))))
-    base = per_column + 1
+    per_column = min(most, max(1, round((rows / CELL_ROWS) ** (1 / len(cols)))))
     probs = [i / per_column for i in range(1, per_column)]
-    cuts = donors.approxQuantile(list(cols), probs, 0.25 / per_column) if probs else [[] for _ in cols]
+    return per_column, pool.approxQuantile(list(cols), probs, 0.25 / per_column) if probs else [[] for _ in cols]
+
+
+def _with_cells(donors: DataFrame, cols: Sequence[str], per_column: int, cuts: list[list[float]]) -> DataFrame:
+    """Add the cell number; its digits are the slices of the columns, 0 for a missing value."""
+    base = per_column + 1
     out, cell = donors, F.lit(0).cast("bigint")
     for i, (c, found) in enumerate(zip(cols, cuts)):
         if found:
@@ -134,29 +138,45 @@ def _search(cols: Sequence[str], k: int, widths: list):
                 x = part[names].to_numpy(dtype=float, na_value=np.nan) / width
                 keys = part["key"].to_numpy()
                 for start in range(0, len(x), BLOCK):
-                    found += _block(x[start : start + BLOCK], y, k, m, keys[start : start + BLOCK], gap, ids, raw)
-        return pd.DataFrame(found, columns=["key", "gap", "distance", "donor", "value"])
+                    rows = slice(start, start + BLOCK)
+                    distance = _distances(x[rows], y, gap)
+                    row, donor = _nearest(distance, k)
+                    found.append(
+                        pd.DataFrame(
+                            {
+                                "key": keys[rows][row], "gap": int(gap), "distance": distance[row, donor],
+                                "donor": ids[donor], "value": raw[donor, gap],
+                            }
+                        )
+                    )
+        return pd.concat(found) if found else pd.DataFrame(columns=["key", "gap", "distance", "donor", "value"])
 
     return run
 
 
-def _block(x, y, k, m, keys, gap, ids, raw) -> list[tuple]:
-    total = np.zeros((len(x), len(y)))
-    shared = np.zeros((len(x), len(y)))
+def _distances(x: np.ndarray, y: np.ndarray, gap: int) -> np.ndarray:
+    """Squared distances over shared columns, infinite where a donor can't serve."""
+    m = x.shape[1]
+    total, shared = np.zeros((len(x), len(y))), np.zeros((len(x), len(y)))
     for i in range(m):
         step = (x[:, i][:, None] - y[:, i][None, :]) ** 2
         both = ~np.isnan(step)
         total += np.where(both, step, 0.0)
         shared += both
     usable = (shared > 0) & ~np.isnan(y[:, gap])[None, :]
-    distance = np.where(usable, m / np.maximum(shared, 1) * total, np.inf)
-    limit = np.partition(distance, min(k, len(y)) - 1, axis=1)[:, min(k, len(y)) - 1]
-    out = []
-    for row, key in enumerate(keys):
-        near = np.flatnonzero((distance[row] <= limit[row]) & np.isfinite(distance[row]))
-        near = near[np.argsort(distance[row][near], kind="stable")[:k]]
-        out += [(key, int(gap), float(distance[row][j]), ids[j], float(raw[j, gap])) for j in near]
-    return out
+    return np.where(usable, m / np.maximum(shared, 1) * total, np.inf)
+
+
+def _nearest(distance: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, donor) of the ``k`` nearest of each row.  Donors come sorted by id, so the first of equals wins."""
+    k = min(k, distance.shape[1])
+    limit = np.partition(distance, k - 1, axis=1)[:, k - 1 : k]
+    row, donor = np.nonzero((distance < limit) & np.isfinite(distance))
+    room = k - np.bincount(row, minlength=len(distance))
+    at_row, at_donor = np.nonzero((distance == limit) & np.isfinite(distance))
+    starts = np.searchsorted(at_row, np.arange(len(distance)))
+    first = np.arange(len(at_row)) - starts[at_row] < room[at_row]
+    return np.concatenate([row, at_row[first]]), np.concatenate([donor, at_donor[first]])
 
 
 def knn_impute(
@@ -189,10 +209,13 @@ def knn_impute(
         incomplete = incomplete | F.col(c).isNull()
     same = W.partitionBy("split", *cols).orderBy("donor")
     # of equal rows only the k smallest ids can count; the group limit drops the others before the shuffle
-    donors = shape(fit_on if fit_on is not None else df).withColumn("__at", F.row_number().over(same)).where(
+    pool = shape(fit_on) if fit_on is not None else rows
+    size = pool.agg(F.count(F.lit(1)).alias("n"), *[F.stddev_pop(c).alias(c) for c in cols]).first()
+    widths = [float(size[c] or 0.0) or 1.0 for c in cols] if scaled else [1.0] * len(cols)
+    donors = pool.withColumn("__at", F.row_number().over(same)).where(
         F.col("__at") <= k
     ).drop("__at")
-    donors = _with_cells(donors, cols)
+    donors = _with_cells(donors, cols, *_cuts(pool, cols, size["n"]))
     summary = donors.groupBy("split", "cell").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
@@ -200,11 +223,6 @@ def knn_impute(
     )
     cells = summary.collect()  # at most MOST_CELLS rows per split
     splits = sorted({r["split"] for r in cells})
-    widths = [1.0] * len(cols)
-    if scaled:
-        spread = rows.agg(*[F.stddev_pop(c).alias(c) for c in cols]).first()
-        widths = [float(spread[c] or 0.0) or 1.0 for c in cols]
-
     targets = rows.where(incomplete).select("split", *cols).distinct().withColumn("key", _tuple_key("split", cols))
     routed = _route(targets, cells, splits, cols, k, widths)
     groups = ["split", "cell", "slice"]
@@ -214,7 +232,7 @@ def knn_impute(
     )
     blocks = donors.join(F.broadcast(sized), ["split", "cell"])  # bounded by MOST_CELLS rows per split
     blocks = blocks.withColumn("slice", F.pmod(F.xxhash64("donor"), F.col("slices"))).drop("slices")
-    if targets.count() * len(cols) > SLICE_ROWS:
+    if fit_on is not None or size["n"] * len(cols) > SLICE_ROWS * 10:
         shared_folder(spark)
         routed = routed.checkpoint()
         crowd = routed.groupBy(*groups).agg(F.ceil(F.count(F.lit(1)) / SLICE_ROWS).cast("bigint").alias("crowd"))
@@ -234,7 +252,6 @@ def knn_impute(
     filled = nearest.groupBy("key").agg(
         *[F.avg(F.when(F.col("gap") == i, F.col("value"))).alias(f"__new_{c}") for i, c in enumerate(cols)]
     )
-    pool = shape(fit_on) if fit_on is not None else rows
     means = pool.groupBy("split").agg(*[F.avg(c).alias(f"__mean_{c}") for c in cols])
     means = means.select(F.map_from_entries(F.collect_list(F.struct("split", F.struct("*")))).alias("m")).scalar()
 

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohort_spark.plans.chunks import attach
 from cohort_spark.plans.runs import value_runs
 
 
@@ -72,10 +71,13 @@ def evaluate(
     df: DataFrame, score: str = "score", label: str = "label", by: Sequence[str] = (), from_logit: bool = False
 ) -> DataFrame:
     """Rows, log loss, AUROC and average precision per group: one metrics table."""
-    ranked = _runs(df, score, label, by).groupBy(*by).agg(
-        F.max("n_all").alias("n"), _auroc().alias("auroc"), _average_precision().alias("average_precision")
+    loss = logit_loss if from_logit else probability_loss
+    x, pos, neg = F.col(score).cast("double"), F.col("pos"), F.col("n") - F.col("pos")
+    # rows with equal scores and labels share their loss
+    total = F.when(pos > 0, pos * loss(x, F.lit(1.0))).otherwise(0.0) + F.when(neg > 0, neg * loss(x, F.lit(0.0))).otherwise(0.0)
+    return _runs(df, score, label, by).groupBy(*by).agg(
+        F.max("n_all").alias("n"),
+        (F.sum(total) / F.max("n_all")).alias("log_loss"),
+        _auroc().alias("auroc"),
+        _average_precision().alias("average_precision"),
     )
-    losses = log_loss(df.where(F.col(score).isNotNull() & F.col(label).isNotNull()), score, label, from_logit, by)
-    if not by:
-        return ranked.select("n", losses.scalar().alias("log_loss"), "auroc", "average_precision")
-    return attach(ranked, losses, list(by), null_safe=True).select(*by, "n", "log_loss", "auroc", "average_precision")

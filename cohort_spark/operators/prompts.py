@@ -15,6 +15,7 @@ from cohort_spark.operators.aggregate import sample_rows
 from cohort_spark.operators.metrics import evaluate
 from cohort_spark.operators.relate import expand_settings
 from cohort_spark.plans.chunks import with_parameters
+from cohort_spark.session import shared_folder
 
 # The frame of a prompt and of its examples.
 EXAMPLES_HEAD = "### Examples\n"
@@ -156,7 +157,9 @@ def prompt_sweep(
     asked = rows.select(
         key, label, *settings, system_prompt(F.col("mode")).alias("system"), user_prompt(chosen, context).alias("prompt")
     )
-    answers = batch_infer(asked, make_client, [key, label, *settings])
+    shared_folder(df.sparkSession)
+    # written once: the metrics read the answers more than once, and asking a model is the dear part
+    answers = batch_infer(asked, make_client, [key, label, *settings]).checkpoint()
     score = F.when(F.col("mode") == "score", extract_score(F.col("answer"), "score")).otherwise(
         extract_score(F.col("answer"), "binary")
     )
