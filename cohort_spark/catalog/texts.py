@@ -209,7 +209,8 @@ NUMBER_SQL = "try_cast(nullif(regexp_extract(a, '(\\d+(\\.\\d+)?)', 1), '') as d
 @query(
     "extract_score",
     f"""with {ANSWER_SQL}, c as (select conv_id, turn, {_clean_sql("lower(answer)")} as a from answers)
-    select conv_id, turn, coalesce(least(greatest({NUMBER_SQL}, 1.0::double), 10.0::double) / 10, 0.5::double) as score,
+    select conv_id, turn, case when {NUMBER_SQL} is null then 0.5::double
+      else least(greatest({NUMBER_SQL}, 1.0::double), 10.0::double) / 10 end as score,
     (case when {NUMBER_SQL} in (0, 1) then {NUMBER_SQL} when regexp_matches(a, 'yes|high|die|likely') then 1
       when regexp_matches(a, 'no|low|survive|unlikely') then 0 else 0.5 end)::double as flag,
     (case when {NUMBER_SQL} in (0, 1) then {NUMBER_SQL} when regexp_matches(a, '\\b(yes|high|die|likely)\\b') then 1

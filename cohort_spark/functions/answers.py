@@ -35,7 +35,8 @@ def extract_score(text: Column, mode: str = "score", strict: bool = False) -> Co
     clean = clean_llm_output(F.lower(text))
     number = F.regexp_extract(clean, FIRST_NUMBER, 1).try_cast("double")
     if mode == "score":
-        return F.coalesce(F.least(F.greatest(number, F.lit(1.0)), F.lit(10.0)) / 10.0, F.lit(NEUTRAL))
+        grade = F.least(F.greatest(number, F.lit(1.0)), F.lit(10.0)) / 10.0
+        return F.when(number.isNotNull(), grade).otherwise(NEUTRAL)
     if mode != "binary":
         raise ValueError(f"unknown mode {mode!r}")
     return (

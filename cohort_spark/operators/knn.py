@@ -233,11 +233,13 @@ def knn_impute(
     blocks = donors.join(F.broadcast(sized), ["split", "cell"])  # bounded by MOST_CELLS rows per split
     blocks = blocks.withColumn("slice", F.pmod(F.xxhash64("donor"), F.col("slices"))).drop("slices")
     if fit_on is not None or size["n"] * len(cols) > SLICE_ROWS * 10:
+        # many rows may search one cell: seat them in groups of bounded size, each with a copy of the slice
         shared_folder(spark)
         routed = routed.checkpoint()
-        crowd = routed.groupBy(*groups).agg(F.ceil(F.count(F.lit(1)) / SLICE_ROWS).cast("bigint").alias("crowd"))
-        routed = attach(routed, crowd, groups).withColumn("seat", F.pmod(F.xxhash64("key"), F.col("crowd")))
-        blocks = blocks.join(crowd, groups).withColumn("seat", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("crowd") - 1)))
+        crowd = routed.groupBy(*groups).agg(F.ceil(F.count(F.lit(1)) / SLICE_ROWS).cast("bigint").alias("seats"))
+        routed = attach(routed, crowd, groups).withColumn("seat", F.pmod(F.xxhash64("key"), F.col("seats"))).drop("seats")
+        every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("seats") - 1))
+        blocks = blocks.join(crowd.toDF(*groups, "seats"), groups).withColumn("seat", every).drop("seats")
         groups = [*groups, "seat"]
     donor_type = dict(rows.dtypes)["donor"]
     nearest = (
