@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohort_spark.operators.reshape import melt
-from cohort_spark.plans.chunks import attach, with_parameters
+from cohort_spark.plans.chunks import attach, attach_salted, with_parameters
 from cohort_spark.plans.runs import exact_quantiles
 
 
@@ -65,12 +65,12 @@ def kde(df: DataFrame, col: str, by: Sequence[str] = (), points: int = 512, cut:
     spread = F.least(F.col("sd"), F.when(iqr > 0, iqr).otherwise(F.col("sd")))
     spread = F.when(spread > 0, spread).when(F.col("low") != 0, F.abs("low")).otherwise(1.0)
     width = F.lit(0.9) * spread * F.pow(F.col("n").cast("double"), F.lit(-0.2))
-    fit = _side_by_side(moments, quartiles, by).withColumn("bw", width)
+    fit = _side_by_side(moments, quartiles, by, "n").withColumn("bw", width)
     fit = fit.select(
         *by, "n", "bw", (F.col("low") - cut * F.col("bw")).alias("low"), (F.col("high") + cut * F.col("bw")).alias("high")
     )
     counts = known.groupBy(*by, "x").agg(F.count(F.lit(1)).alias("w"))
-    placed = _side_by_side(counts, fit, by)
+    placed = _side_by_side(counts, fit, by, "x")
     grid = placed.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     at = F.col("low") + (F.col("high") - F.col("low")) * F.col("point") / (points - 1)
     z = (at - F.col("x")) / F.col("bw")
@@ -78,10 +78,10 @@ def kde(df: DataFrame, col: str, by: Sequence[str] = (), points: int = 512, cut:
     return grid.groupBy(*by, "point").agg(F.max(at).alias("position"), F.sum(part).alias("density"))
 
 
-def _side_by_side(rows: DataFrame, one_per_group: DataFrame, by: Sequence[str]) -> DataFrame:
+def _side_by_side(rows: DataFrame, one_per_group: DataFrame, by: Sequence[str], spread_by: str) -> DataFrame:
     """Group statistics next to the rows; without groups there is a single row of them, a scalar subquery."""
     if by:
-        return attach(rows, one_per_group, by, "inner", null_safe=True)
+        return attach_salted(rows, one_per_group, by, spread_by)
     return with_parameters(rows, one_per_group, "__fit").select(*rows.columns, "__fit.*")
 
 
@@ -93,7 +93,7 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
     counts = known.groupBy(*by, "x").agg(F.count(F.lit(1)).alias("w"))
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = (F.col("x") >= F.col("q1") - reach) & (F.col("x") <= F.col("q3") + reach)
-    placed = attach(counts, quartiles, by, "inner", null_safe=True)
+    placed = attach_salted(counts, quartiles, by, "x")
     return placed.groupBy(*by).agg(
         F.max("q1").alias("q1"),
         F.max("median").alias("median"),

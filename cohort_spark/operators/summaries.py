@@ -46,7 +46,7 @@ def trend_labels(
     """
     chunk = None if chunk_hours is None else time_chunk(ts, chunk_hours)
     long = melt(df, [entity, ts], cols).where(F.col("value").isNotNull())
-    numbered = number_rows(long, [entity, "variable"], [ts], "__at", chunk)
+    placed = number_rows(long, [entity, "variable"], [ts], "__at", chunk, total="n")
     stats = long.groupBy(entity, "variable").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("value").alias("low"),
@@ -54,7 +54,6 @@ def trend_labels(
         F.avg("value").alias("mean"),
         F.max_by("value", ts).alias("last"),
     )
-    placed = attach(numbered, stats.select(entity, "variable", "n"), [entity, "variable"])
     place, n = F.col("__at") - 1, F.col("n")
     one, two = F.floor(n / 3), F.floor(2 * n / 3)
     thirds = placed.groupBy(entity, "variable").agg(

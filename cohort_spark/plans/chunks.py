@@ -49,6 +49,20 @@ def attach(
     return joined.select("l.*", *[F.col(f"r.{c}") for c in extra])
 
 
+def attach_salted(
+    rows: DataFrame, summary: DataFrame, keys: Sequence[str], spread_by: str, salts: int = 64
+) -> DataFrame:
+    """Inner join with the one-row-per-key ``summary``, each key cut into ``salts`` parts by the hash of ``spread_by``.
+
+    For joins that are followed by a ``groupBy`` on the same keys: that would lean on the distribution of the
+    join, which keeps the adaptive skew join from splitting a hot key.  Here the join is spread by the salt,
+    and the ``groupBy`` combines on the map side before its own shuffle.  Keys may be null.
+    """
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)))
+    copies = summary.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    return attach(salted, copies, [*keys, "__salt"], "inner", null_safe=True).drop("__salt")
+
+
 def with_parameters(df: DataFrame, parameters: DataFrame, name: str) -> DataFrame:
     """Add a one-row frame of fitted parameters as one struct column.
 
@@ -59,16 +73,32 @@ def with_parameters(df: DataFrame, parameters: DataFrame, name: str) -> DataFram
 
 
 def number_rows(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], name: str, chunk: Column | None = None
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[str],
+    name: str,
+    chunk: Column | None = None,
+    total: str | None = None,
 ) -> DataFrame:
-    """1-based position of each row in its group.  ``chunk`` must not decrease along ``order``."""
+    """1-based position of each row in its group, and with ``total`` the rows of the group.
+
+    ``chunk`` must not decrease along ``order``.
+    """
     by = list(by)
+    whole = W.partitionBy(*by)
     if chunk is None:
-        return df.withColumn(name, F.row_number().over(W.partitionBy(*by).orderBy(*order)).cast("bigint"))
+        counted = {} if total is None else {total: F.count(F.lit(1)).over(whole)}
+        place = F.row_number().over(whole.orderBy(*order)).cast("bigint")
+        return df.withColumns({name: place, **counted})
     rows = df.withColumn(CHUNK, chunk)
     sizes = rows.groupBy(*by, CHUNK).agg(F.count(F.lit(1)).alias("__n"))
-    earlier = W.partitionBy(*by).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select(*by, CHUNK, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
+    earlier = whole.orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select(
+        *by,
+        CHUNK,
+        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"),
+        *([] if total is None else [F.sum("__n").over(whole).alias(total)]),
+    )
     local = F.row_number().over(W.partitionBy(*by, CHUNK).orderBy(*order))
     return (
         attach(rows, offsets, [*by, CHUNK])
