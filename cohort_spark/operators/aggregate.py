@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cohort_spark.operators.impute import MONTH_HOURS
 from cohort_spark.operators.quality import entities_in
 from cohort_spark.operators.reshape import melt
-from cohort_spark.plans.chunks import lagged, time_chunk
+from cohort_spark.plans.chunks import lagged, place_of, time_chunk
 
 # How each measurement is summed up per stay.
 MEASUREMENT_AGGREGATES = {
@@ -32,7 +32,7 @@ def aggregate_by_rules(
     """One row per entity; a rule per column: last (non-null), mean, min, max or sum (0 when all null)."""
 
     def last(c: str) -> Column:
-        return F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*order)))
+        return F.max_by(F.col(c), F.when(F.col(c).isNotNull(), place_of(order)))
 
     make = {
         "last": last,

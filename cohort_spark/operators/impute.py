@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cohort_spark.functions.time import seconds_between
 from cohort_spark.operators.quality import replace_columns
 from cohort_spark.operators.reshape import melt
-from cohort_spark.plans.chunks import attach, nearest_known, time_chunk, with_parameters
+from cohort_spark.plans.chunks import attach, nearest_known, place_of, time_chunk, with_parameters
 from cohort_spark.plans.runs import exact_quantiles
 
 MONTH_HOURS = 24 * 30
@@ -20,7 +20,7 @@ def static_view(df: DataFrame, cols: Sequence[str], order: Sequence[str], entity
     """First non-null value per entity and column."""
 
     def first(c: str) -> Column:
-        return F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*order))).alias(c)
+        return F.min_by(F.col(c), F.when(F.col(c).isNotNull(), place_of(order))).alias(c)
 
     return df.groupBy(entity).agg(*[first(c) for c in cols])
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohort_spark.functions.rules import MEASUREMENT_RULES, apply_rules
-from cohort_spark.plans.chunks import attach
+from cohort_spark.plans.chunks import attach, place_of
 
 
 def _any(conditions: Sequence[Column]) -> Column:
@@ -38,7 +38,7 @@ def sentinel_violations(
     Compares the last place the sentinel takes with the first place of the entity: two aggregates that
     combine on the map side, instead of numbering the rows of an entity.
     """
-    place = F.struct(*order)
+    place = place_of(order)
     checks = [
         F.coalesce(F.max(F.when(F.col(c) == sentinel, place)) <= F.min(place), F.lit(True)).alias(f"{c}_first_only")
         for c in cols
@@ -113,7 +113,7 @@ def drop_null_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFr
 def last_rows(df: DataFrame, order: Sequence[str], entity: str = "entity_id", last: bool = True) -> DataFrame:
     """The last (or first) row of every entity, by an aggregate that combines on the map side."""
     pick = F.max_by if last else F.min_by
-    chosen = df.groupBy(entity).agg(pick(F.struct(*df.columns), F.struct(*order)).alias("__row"))
+    chosen = df.groupBy(entity).agg(pick(F.struct(*df.columns), place_of(order)).alias("__row"))
     return chosen.select("__row.*")
 
 

@@ -107,6 +107,12 @@ def number_rows(
     )
 
 
+def place_of(order: Sequence[str]) -> Column:
+    """The place in an order as one comparable column.  A single column stays plain: aggregates over it then use
+    fixed-width buffers and hash, where a struct makes Spark sort."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
 def _known(col: str, order: Sequence[str]) -> Column:
     """The reading with its place in the order, null where there is no reading."""
     return F.when(
@@ -151,10 +157,16 @@ def nearest_known(
 
 def _handed_over(rows: DataFrame, by: list[str], order: list[str], cols: Sequence[str], sides: list) -> DataFrame:
     """Per (group, chunk): the nearest reading of earlier and of later chunks."""
-    pick = {"prev": F.max, "next": F.min}
-    ends = rows.groupBy(*by, CHUNK).agg(
-        *[pick[side](_known(c, order)).alias(f"__{side}_{c}") for side, _ in sides for c in cols]
-    )
+    most, of_most = {"prev": F.max, "next": F.min}, {"prev": F.max_by, "next": F.min_by}
+
+    def end(c: str, side: str) -> Column:
+        if len(order) > 1:
+            return most[side](_known(c, order))
+        place = F.when(F.col(c).isNotNull(), F.col(order[0]))
+        best = F.struct(most[side](place).alias("o0"), of_most[side](F.col(c), place).alias("v"))
+        return F.when(most[side](place).isNotNull(), best)
+
+    ends = rows.groupBy(*by, CHUNK).agg(*[end(c, side).alias(f"__{side}_{c}") for side, _ in sides for c in cols])
     carried = [
         F.last(f"__{side}_{c}", ignorenulls=True)
         .over(W.partitionBy(*by).orderBy(direction(CHUNK)).rowsBetween(W.unboundedPreceding, -1))
