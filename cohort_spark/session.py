@@ -32,14 +32,17 @@ def local_session(cpus: int | str = "*", app: str = "cohort_spark", **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, a laptop) is a temporary one set.
+    A session that names none gets a temporary one if it is local (tests, a laptop); on a cluster, executors would each
+    write to their own disk, so that is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not (context.master or "").startswith("local") or "cluster" in context.master:
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         folder = tempfile.mkdtemp(prefix="cohort-")
-        spark.sparkContext.setCheckpointDir(folder)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
     return folder
 
 
