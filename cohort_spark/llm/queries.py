@@ -3,19 +3,36 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohort_spark.llm import packing, token_files
+from cohort_spark.llm import near_dup, packing, sql, substrings, token_files, top_k
 from cohort_spark.llm.registry import ORACLES, QUERIES, query, table
 from cohort_spark.session import scratch_path
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+@query("op4_top_k", sql.TOP_K)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query("op5_packing")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
 
 
+@query("op7_substrings", sql.SUBSTRINGS)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substrings.remove_repeats(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op8_near_duplicates", sql.NEAR_DUPLICATES)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, folder, "documents")).drop("text_hash")
+
+
 @query("op10_token_files")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_table(table(spark, folder, "documents"), scratch_path(spark, "token-files"))
