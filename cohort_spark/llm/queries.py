@@ -5,13 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohort_spark.llm import near_dup, packing, sql, substrings, token_files, top_k
+from cohort_spark.llm import near_dup, packing, secrets, sharding, sql, substrings, token_files, top_k
 from cohort_spark.llm.registry import ORACLES, QUERIES, query, table
 from cohort_spark.session import scratch_path
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+SHARDS = 24
+
+
+@query("op2_sharding")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    out = sharding.shuffle_into_shards(documents, SHARDS).select("record.doc_id", "record.text", "shard", "slot")
+    return out.select(
+        "doc_id",
+        sharding.record_bytes("text").alias("size"),
+        F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("text_crc32"),
+        F.lit("key").alias("law"),
+        "shard",
+        "slot",
+        sharding.shard_of("doc_id", SHARDS + 1).alias("grown_shard"),
+    )
+
+
+@query("op3_secrets")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.report(table(spark, folder, "documents"))
+
+
 @query("op4_top_k", sql.TOP_K)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return top_k.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
