@@ -34,7 +34,7 @@ BANDS = 16
 MINHASHES = 4 * BANDS
 LEAST_AGREEING = 31
 PERCENT = 75
-TILE = 1024
+TILE = 512
 SMALL = 16
 STREAM_ROWS = 20_000
 STREAM_BYTES = 32 << 20

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohort_spark.llm import near_dup, packing, secrets, sharding, sql, substrings, token_files, top_k
+from cohort_spark.llm import near_dup, packing, quality, secrets, sharding, sql, substrings, token_files, top_k
 from cohort_spark.llm.registry import ORACLES, QUERIES, query, table
 from cohort_spark.session import scratch_path
 
@@ -15,6 +15,11 @@ __all__ = ["ORACLES", "QUERIES"]
 SHARDS = 24
 
 
+@query("op1_quality")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents"))
+
+
 @query("op2_sharding")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
