@@ -5,6 +5,9 @@ equal minimisers.  Consecutive windows that share a minimiser travel as one pack
 bucket of that minimiser.  There all windows of the bucket are sorted; equal windows meet, and the smallest document
 of each is known exactly: windows that agree in their hash are compared byte by byte.
 
+Only windows that can be repeated travel: where a minimiser has packed strings of one document alone, none of its windows
+occurs in another one.  That is found out first, on the minimisers without the strings.
+
 Grams that are frequent in the corpus come last in the order of minimisers.  A window then takes one of them only if
 it has no other gram, that is, inside a frequent passage, where packed strings are equal and are merged before they
 travel.  So no bucket holds more than a small share of the rows, however often a line or a passage occurs.
@@ -17,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +34,7 @@ FREQUENT = 1 / 50_000
 MAP_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
 _NO_ID = (1 << 63) - 1
+_FOUND = "bucket bigint, doc bigint, hash bigint, start bigint, n bigint, lead boolean"
 _PACKED = "bucket bigint, packed binary, doc bigint, hash bigint, start bigint, n bigint"
 _RANGES = "doc bigint, hash bigint, start bigint, stop bigint"
 _LAST = np.uint64(1 << 63)
@@ -86,28 +91,30 @@ def frequent_grams(docs: DataFrame, gram: int = GRAM, share: float = FREQUENT) -
     return np.sort(np.array([r["gram"] for r in found], dtype=np.int64).view(np.uint64))
 
 
-def pack_windows(docs: DataFrame, frequent: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Super-k-mers of ``docs`` (doc, text, hash): one row per distinct packed string of a slice, of its first document.
+def super_kmers(docs: DataFrame, frequent: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """Where the super-k-mers of ``docs`` (doc, text, hash) lie: bucket, first word, number of windows.
 
-    Where a later document of the slice has the same packed string, all of it is known to be repeated: such rows carry
-    no string, only the range of words.
+    ``lead`` is false where a smaller document of the same slice has the same packed string: all of it is known to be
+    repeated, so it needs no comparison, and equal strings of a slice are compared once.
     """
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc").to_numpy(zero_copy_only=False).astype(np.int64)
             marks = batch.column("hash").to_numpy(zero_copy_only=False).astype(np.int64)
             data, offsets = raw(batch.column("text"))
             for a, b in slices(offsets, MAP_BYTES):
-                yield from _packed(words_of(data, offsets[a : b + 1]), ids[a:b], marks[a:b], frequent, window, gram)
+                found = _runs(words_of(data, offsets[a : b + 1]), ids[a:b], marks[a:b], frequent, window, gram)
+                if found:
+                    yield _batch(_FOUND, [pa.array(x) for x in found])
 
-    return docs.select("doc", "text", "hash").mapInArrow(pack, _PACKED)
+    return docs.select("doc", "text", "hash").mapInArrow(find, _FOUND)
 
 
-def _packed(words: Words, ids, marks, frequent, window: int, gram: int) -> Iterator[pa.RecordBatch]:
+def _runs(words: Words, ids, marks, frequent, window: int, gram: int) -> list[np.ndarray]:
     inside = _inside(words, window)
     if not inside.any():
-        return
+        return []
     order = grams(words.hashes(), gram)
     rare = order >> np.uint64(1)
     if len(frequent):
@@ -120,30 +127,51 @@ def _packed(words: Words, ids, marks, frequent, window: int, gram: int) -> Itera
     begins = np.flatnonzero(new & inside)
     breaks = np.append(np.flatnonzero(new | ~inside), len(smallest))
     stops = breaks[np.searchsorted(breaks, begins, side="right")]  # one past the last window of the run
+    doc, mark = ids[text[begins]], marks[text[begins]]
     body, place = words.joined()
     body = body.tobytes()
     strings = [body[x:y] for x, y in zip(place[begins].tolist(), (place[stops + window - 1] - 1).tolist())]
-    owner = ids[text[begins]].tolist()
+    owner = doc.tolist()
     first: dict[bytes, int] = {}
-    for string, doc in zip(strings, owner):
-        if first.get(string, doc) >= doc:
-            first[string] = doc
+    for string, own in zip(strings, owner):
+        if first.get(string, own) >= own:
+            first[string] = own
     lead = np.fromiter((first[s] == d for s, d in zip(strings, owner)), dtype=bool, count=len(strings))
-    bucket = smallest[begins].view(np.int64)
-    start = begins - words.first[text[begins]]
-    n = stops - begins
-    doc, mark = ids[text[begins]], marks[text[begins]]
-    yield _batch(
-        _PACKED,
-        [
-            pa.array(np.where(lead, bucket, mark)),
-            pa.array([s if k else None for s, k in zip(strings, lead.tolist())], pa.binary()),
-            pa.array(doc),
-            pa.array(mark),
-            pa.array(start),
-            pa.array(n),
-        ],
-    )
+    bucket = np.where(lead, smallest[begins].view(np.int64), mark)
+    return [bucket, doc, mark, begins - words.first[text[begins]], stops - begins, lead]
+
+
+def _listed(rows: DataFrame, *columns: str) -> DataFrame:
+    """One row per document with a list; a text has fewer entries than words."""
+    keys = [F.col("doc").alias("__doc"), F.col("hash").alias("__hash")]
+    return rows.groupBy(*keys).agg(F.collect_list(F.struct(*columns)).alias("__list"))
+
+
+def pack(found: DataFrame, keyed: DataFrame) -> DataFrame:
+    """The packed strings of super-k-mers whose bucket has leads of two documents; ranges known to be repeated have none."""
+    bucket = W.partitionBy("bucket")
+    shared = found.withColumns({"__low": F.min("doc").over(bucket), "__high": F.max("doc").over(bucket)})
+    wanted = _listed(shared.where(~F.col("lead") | (F.col("__low") < F.col("__high"))), "bucket", "start", "n", "lead")
+
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = raw(batch.column("text"))
+            for a, b in slices(offsets, MAP_BYTES):
+                words = words_of(data, offsets[a : b + 1])
+                body, place = words.joined()
+                body, part = body.tobytes(), batch.slice(a, b - a)
+                lists = part.column("__list")
+                row = np.repeat(np.arange(b - a), lists.value_lengths().to_numpy())
+                entry = lists.flatten()
+                bucket, start, n, lead = (entry.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+                width = part.column("__window")[0].as_py()
+                low = words.first[row] + start
+                spans = zip(place[low].tolist(), (place[low + n + width - 1] - 1).tolist(), lead.tolist())
+                packed = pa.array([body[x:y] if k else None for x, y, k in spans], pa.binary())
+                doc, mark = (part.column(c).to_numpy()[row] for c in ("__doc", "__hash"))
+                yield _batch(_PACKED, [pa.array(bucket), packed, *(pa.array(x) for x in (doc, mark, start, n))])
+
+    return keyed.join(wanted, ["__doc", "__hash"]).mapInArrow(strings, _PACKED)
 
 
 def _groups(batches: Iterator[pa.RecordBatch], key: str, most: int) -> Iterator[pa.RecordBatch]:
@@ -243,13 +271,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     own = ["n_words", "n_removed", "kept_text"]
     docs = docs.drop(*own)
-    keyed = docs.withColumns({"__doc": F.coalesce("doc_id", F.lit(_NO_ID)), "__hash": F.xxhash64("text")})
+    keyed = docs.withColumns(
+        {"__doc": F.coalesce("doc_id", F.lit(_NO_ID)), "__hash": F.xxhash64("text"), "__window": F.lit(window)}
+    )
     plain = keyed.select(F.col("__doc").alias("doc"), "text", F.col("__hash").alias("hash"))
     gram = min(GRAM, window)
-    ranges = repeated_ranges(pack_windows(plain, frequent_grams(docs, gram), window, gram), window)
-    listed = ranges.groupBy(F.col("doc").alias("__doc"), F.col("hash").alias("__hash")).agg(
-        F.collect_list(F.struct("start", "stop")).alias("__ranges")  # at most one per word of the text
-    )
+    found = super_kmers(plain, frequent_grams(docs, gram), window, gram)
+    ranges = repeated_ranges(pack(found, keyed), window)
+    listed = _listed(ranges, "start", "stop")
     names = docs.columns
     fields = [*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
     schema = T.StructType([*fields, T.StructField("kept_text", T.StringType())])
@@ -259,11 +288,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             data, offsets = raw(batch.column("text"))
             for a, b in slices(offsets):
                 part = batch.slice(a, b - a)
-                n_words, n_removed, texts = _kept(words_of(data, offsets[a : b + 1]), part.column("__ranges").to_pylist())
+                n_words, n_removed, texts = _kept(words_of(data, offsets[a : b + 1]), part.column("__list").to_pylist())
                 new = [pa.array(n_words), pa.array(n_removed), pa.array(texts, pa.binary()).cast(pa.string())]
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in names] + new, names=[*names, *own])
 
-    joined = keyed.join(listed, ["__doc", "__hash"], "left").select(*names, "__ranges")
+    # Both joins deal the same columns of ``docs`` by the same keys, so the texts are shuffled once.
+    joined = keyed.join(listed, ["__doc", "__hash"], "left")
     return joined.mapInArrow(keep, schema)
 
 
