@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohort_spark.llm import near_dup, packing, quality, secrets, sharding, sql, substrings, token_files, top_k
+from cohort_spark.llm import near_dup, packing, quality, secrets, sharding, sql, substrings, token_files, top_k, toxicity
 from cohort_spark.llm.registry import ORACLES, QUERIES, query, table
 from cohort_spark.session import scratch_path
 
@@ -61,6 +61,11 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, folder, "documents")).drop("text_hash")
 
 
+@query("op9_toxicity")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op10_token_files")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_table(table(spark, folder, "documents"), scratch_path(spark, "token-files"))
