@@ -41,7 +41,7 @@ def _words(text: str | None) -> list[bytes]:
 
 
 def _triples(words: list[bytes]) -> list[bytes]:
-    return [b" " + b" ".join(words[i : i + 3]) + b" " for i in range(0, max(1, len(words) - 1), 2)]
+    return [b" " + b" ".join(words[i : i + 3]) + b" " for i in range(0, max(1, len(words)), 3)]
 
 
 @dataclass
@@ -141,13 +141,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, usable: Column, sample:
     counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     place = F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(1 << 20))
     shares = {k: min(1.0, sample / n) for k, n in counts.items()}
-    share = F.lit(0.0)
-    for k, s in shares.items():
-        share = F.when(F.col("toxic") == k, F.lit(s)).otherwise(share)
-    chosen = known.where(place < share * (1 << 20)).select(
-        F.col("doc_id").alias("__doc"), F.col("toxic").alias("__toxic"), (1 / share).alias("__weight"), (F.xxhash64(F.lit("part"), "doc_id") % 2 == 0).alias("__train")
+
+
+    def of_class(values: dict) -> Column:
+        return F.when(F.col("toxic") == 1, F.lit(values.get(1, 1.0))).otherwise(F.lit(values.get(0, 1.0)))
+
+    chosen = known.where(place < of_class(shares) * (1 << 20)).select(
+        F.col("doc_id").alias("__doc"),
+        F.col("toxic").alias("__toxic"),
+        of_class({k: 1 / s for k, s in shares.items()}).alias("__weight"),
+        (F.xxhash64(F.lit("part"), "doc_id") % 2 == 0).alias("__train"),
     )
-    joined = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("__doc"))
+    # At most about 2 * sample rows of a few numbers: the texts needn't be shuffled to find those of the sample.
+    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__doc"))
     return joined.select("text", F.col("__toxic").cast("int").alias("toxic"), F.col("__weight").alias("weight"), F.col("__train").alias("train"))
 
 

@@ -40,7 +40,11 @@ def test_held_out_accuracy_on_planted_words(docs, labels):
         assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7)
         assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
     held = [r for r in got if r.held_out and r.doc_id in toxic]
-    assert len(held) > 200 and sum(r.predicted == toxic[r.doc_id] for r in held) >= 0.97 * len(held)
+    bad, good = ([r.score for r in held if toxic[r.doc_id] == t] for t in (1, 0))
+    assert min(len(bad), len(good)) > 50
+    assert sum((b > g) + 0.5 * (b == g) for b in bad for g in good) >= 0.97 * len(bad) * len(good)
+    found = [toxic[r.doc_id] for r in held if r.predicted]
+    assert sum(found) >= 0.95 * len(found) and sum(found) >= 0.7 * len(bad)
     kept = drop_toxic(docs(rows + odd), labels(known))
     assert kept.columns == docs([]).columns
     assert sorted(map(repr, (tuple(r)[:2] for r in kept.collect()))) == sorted(
