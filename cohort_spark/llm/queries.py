@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohort_spark.llm import near_dup, packing, quality, secrets, sharding, sql, substrings, token_files, top_k, toxicity
+from cohort_spark.llm import near_dup, packing, quality, secrets, sentencepiece_model, sharding, sql, substrings, token_files, top_k, toxicity
 from cohort_spark.llm.registry import ORACLES, QUERIES, query, table
 from cohort_spark.session import scratch_path
 
@@ -50,6 +50,11 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
 
 
+@query("op6_sentencepiece")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return sentencepiece_model.round_trip(table(spark, folder, "documents"))
+
+
 @query("op7_substrings", sql.SUBSTRINGS)
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     kept = substrings.remove_repeats(table(spark, folder, "documents"))
