@@ -19,18 +19,20 @@ from cohort_spark.operators.impute import forward_fill, impute_features
 from cohort_spark.operators.metrics import evaluate
 from cohort_spark.operators.relate import attach_labels
 from cohort_spark.operators.scale import standard_scale
+from cohort_spark.session import shared_folder
 
 METRICS = ["log_loss", "auroc", "average_precision"]
 
 
 def entity_table(t):
-    """Scaled features, label and split per entity; fitted once and reused, so it is kept."""
+    """Scaled features, label and split per entity; read many times by a fit, so it is written once."""
     filled = forward_fill(hourly_panel(t), VARIABLES, ORDER, chunk_hours=None)
     table = impute_features(aggregate_by_rules(filled, RULES, ORDER), VARIABLES)
     table = standard_scale(table, table.where(split_of() == "a"), VARIABLES)
     # rounded, so that the sums an optimiser sees do not depend on the order of rows
     labelled = attach_labels(rounded(table, VARIABLES, 9), target(t), "inner").where("label is not null")
-    return models.to_features(labelled.withColumn("split", split_of()), VARIABLES, ["entity_id", "label", "split"]).persist()
+    shared_folder(t.spark)
+    return models.to_features(labelled.withColumn("split", split_of()), VARIABLES, ["entity_id", "label", "split"]).checkpoint()
 
 
 def splits(table):
@@ -58,15 +60,15 @@ def _(t):
 
 @query("grid_search_logistic")
 def _(t):
-    train = models.stratified_folds(entity_table(t))
-    _, scores = models.grid_search_logistic(train, max_iter=100)
+    train = models.stratified_folds(entity_table(t).where("split = 'a'"))
+    _, scores = models.grid_search_logistic(train)
     return rounded(scores, ["auroc"], 4)
 
 
 @query("grid_search_logistic_l1")
 def _(t):
-    train = models.stratified_folds(entity_table(t))
-    _, scores = models.grid_search_logistic(train, penalty="l1", max_iter=100)
+    train = models.stratified_folds(entity_table(t).where("split = 'a'"))
+    _, scores = models.grid_search_logistic(train, penalty="l1")
     return rounded(scores, ["auroc"], 4)
 
 
@@ -86,14 +88,12 @@ def _(t):
 @query("random_forest")
 def _(t):
     train, valid, test = splits(entity_table(t))
-    return scored_on(models.fit_random_forest(train, depth=10), valid, test)
+    return scored_on(models.fit_random_forest(train), valid, test)
 
 
 @query("random_search_forest")
 def _(t):
-    table = models.stratified_folds(entity_table(t), folds=3)
-    space = {"numTrees": [10, 20], "maxDepth": [3, 5], "minInstancesPerNode": [1, 2]}
-    _, scores = models.random_search_forest(table, space=space, draws=3, folds=3)
+    _, scores = models.random_search_forest(models.stratified_folds(entity_table(t).where("split = 'a'")))
     return rounded(scores, ["auroc"], 4)
 
 
@@ -124,7 +124,7 @@ def _(t):
 @query("mlp_classifier")
 def _(t):
     rows = models.to_features(labelled_vectors(t), "embedding", ["vec_id", "label"])
-    model = models.mlp_classifier(rows.where("vec_id % 3 <> 0"), 64, max_iter=30)
+    model = models.mlp_classifier(rows.where("vec_id % 3 <> 0"), 64)
     scored = models.predict_positive(model, rows.where("vec_id % 3 = 0"), ["label"])
     return rounded(evaluate(scored), METRICS, 3)
 
@@ -153,5 +153,5 @@ def _(t):
     joined = vectors.concat_channels(pooled, VARIABLES, StatisticsEmbedder.width)
     labelled = attach_labels(joined, target(t), "inner").where("label is not null")
     rows = models.to_features(labelled.withColumn("split", split_of()), "embedding", ["entity_id", "label", "split"])
-    model = models.mlp_classifier(rows.where("split <> 'c'"), len(VARIABLES) * StatisticsEmbedder.width, max_iter=30)
+    model = models.mlp_classifier(rows.where("split <> 'c'"), len(VARIABLES) * StatisticsEmbedder.width)
     return rounded(evaluate(models.predict_positive(model, rows.where("split = 'c'"), ["label"])), METRICS, 3)

@@ -108,19 +108,15 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
 def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
     """Observed and expected counts and standardised residuals of every cell, empty cells included.
 
-    The windows run over the counted table, whose size is set by the number of categories.
+    The table of all cells is the result itself: the counted categories of both sides, side by side.
     """
     known = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
     seen = known.groupBy(a, b).agg(F.count(F.lit(1)).alias("observed"))
     rows = seen.groupBy(a).agg(F.sum("observed").alias("row_total"))
-    columns = seen.agg(F.collect_list(F.struct(b, "observed")).alias("cells"))
-    columns = columns.select(F.array_distinct(F.transform("cells", lambda c: c[b])).alias("values")).scalar()
-    every = rows.withColumn(b, F.explode(columns))
-    table = attach(every, seen, [a, b]).withColumn("observed", F.coalesce("observed", F.lit(0).cast("bigint")))
-    whole = W.partitionBy(F.lit(0))
-    table = table.withColumns(
-        {"col_total": F.sum("observed").over(W.partitionBy(b)), "total": F.sum("observed").over(whole)}
-    )
+    columns = seen.groupBy(b).agg(F.sum("observed").alias("col_total"))
+    total = seen.agg(F.sum("observed")).scalar()
+    table = attach(rows.crossJoin(columns), seen, [a, b]).withColumn("observed", F.coalesce("observed", F.lit(0).cast("bigint")))
+    table = table.withColumn("total", total)
     expected = F.col("row_total") * F.col("col_total") / F.col("total").cast("double")
     p_row, p_col = F.col("row_total") / F.col("total"), F.col("col_total") / F.col("total")
     table = table.withColumn("expected", expected)
@@ -160,15 +156,23 @@ def cramers_v(df: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def welch_t(df: DataFrame, col: str, group: str) -> DataFrame:
-    """Two-sample t with unequal variances: t, degrees of freedom and both means.  The groups sort by value."""
+    """Two-sample t with unequal variances: t, degrees of freedom and both means.  The groups sort by value.
+
+    Other than two groups are an error.
+    """
     known = df.where(F.col(col).isNotNull() & F.col(group).isNotNull())
     stats = known.groupBy(group).agg(
         F.avg(col).alias("mean"), F.var_samp(col).alias("var"), F.count(F.lit(1)).alias("n")
     )
-    pair = stats.agg(F.array_sort(F.collect_list(F.struct(F.col(group).alias("g"), "mean", "var", "n"))).alias("p"))
-    one, two = F.col("p")[0], F.try_element_at("p", F.lit(2))
+    values = F.struct("mean", "var", "n")
+    pair = stats.agg(
+        F.min_by(values, group).alias("one"), F.max_by(values, group).alias("two"), F.count(F.lit(1)).alias("groups")
+    )
+    found = F.concat(F.lit("two groups are needed, found "), F.col("groups").cast("string"))
+    pair = pair.withColumn("one", F.when(F.col("groups") == 2, F.col("one")).otherwise(F.raise_error(found)))
+    one, two = F.col("one"), F.col("two")
     a, b = one["var"] / one["n"], two["var"] / two["n"]
-    return pair.where(F.size("p") == 2).select(
+    return pair.select(
         one["mean"].alias("mean_first"),
         two["mean"].alias("mean_second"),
         F.try_divide(one["mean"] - two["mean"], F.sqrt(a + b)).alias("t"),
@@ -181,23 +185,43 @@ def welch_t(df: DataFrame, col: str, group: str) -> DataFrame:
 # ---- p-values: special functions on result rows, a few per job ----------------------------------------------------
 
 
+LARGE = 1e5  # from here on, uniform expansions whose error is below 1e-7
+_TINY = 1e-300
+
+
+def _fraction(term, start: float) -> float:
+    """A continued fraction (modified Lentz), run until it no longer changes; ``term(i)`` gives its i-th pair."""
+    value = start or _TINY
+    c, d, i = value, 0.0, 0
+    while True:
+        i += 1
+        a, b = term(i)
+        d = 1 / ((b + a * d) or _TINY)
+        c = (b + a / c) or _TINY
+        value *= c * d
+        if abs(c * d - 1) < 1e-15:
+            return value
+
+
 def _gamma_q(a: float, x: float) -> float:
     """Upper regularised incomplete gamma function."""
     if x <= 0:
         return 1.0
+    if a > LARGE:  # the first two terms of the uniform expansion in the error function
+        apart = x / a - 1
+        bend = math.copysign(math.sqrt(max(0.0, 2 * (apart - math.log1p(apart)))), apart)
+        near = 1 / apart - 1 / bend if abs(apart) > 1e-4 else -1 / 3 + apart / 12
+        return 0.5 * math.erfc(bend * math.sqrt(a / 2)) + math.exp(-a * bend * bend / 2) / math.sqrt(2 * math.pi * a) * near
     lead = math.exp(a * math.log(x) - x - math.lgamma(a))
     if x < a + 1:
         term = total = 1 / a
-        for i in range(1, 10_000):
+        i = 0
+        while term > total * 1e-17:
+            i += 1
             term *= x / (a + i)
             total += term
-            if term < total * 1e-16:
-                break
         return 1 - lead * total
-    fraction = 0.0
-    for i in range(500, 0, -1):
-        fraction = i * (i - a) / (x + 2 * i + 1 - a - fraction)
-    return lead / (x + 1 - a - fraction)
+    return lead / _fraction(lambda i: (-i * (i - a), x + 2 * i + 1 - a), x + 1 - a)
 
 
 def _beta_i(a: float, b: float, x: float) -> float:
@@ -207,12 +231,22 @@ def _beta_i(a: float, b: float, x: float) -> float:
     if x > (a + 1) / (a + b + 2):
         return 1 - _beta_i(b, a, 1 - x)
     lead = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
-    tail = 1.0
-    for i in range(400, 0, -1):
-        even = i * (b - i) * x / ((a + 2 * i - 1) * (a + 2 * i))
-        odd = -(a + i - 1) * (a + b + i - 1) * x / ((a + 2 * i - 2) * (a + 2 * i - 1))
-        tail = 1 + odd / (1 + even / tail)
-    return lead / tail
+
+    def term(i: int) -> tuple[float, float]:
+        m = i // 2
+        if i % 2:
+            return -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)), 1.0
+        return m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), 1.0
+
+    return lead / _fraction(term, 1.0)
+
+
+def _t_tail(t: float, df: float) -> float:
+    """Two-sided chance of a t as far from zero."""
+    if df > 2 * LARGE:  # the normal deviate of the same chance, to the order of 1 / df
+        z = t * (1 - 1 / (4 * df)) / math.sqrt(1 + t * t / (2 * df))
+        return math.erfc(abs(z) / math.sqrt(2))
+    return _beta_i(df / 2, 0.5, df / (df + t * t))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -224,7 +258,7 @@ def chi_square_p(statistic: pd.Series, df: pd.Series) -> pd.Series:
 @F.pandas_udf(T.DoubleType())
 def t_test_p(t: pd.Series, df: pd.Series) -> pd.Series:
     """Two-sided chance of a t as far from zero."""
-    return pd.Series([_beta_i(d / 2, 0.5, d / (d + s * s)) for s, d in zip(t, df)])
+    return pd.Series([_t_tail(s, d) for s, d in zip(t, df)])
 
 
 @F.pandas_udf(T.DoubleType())

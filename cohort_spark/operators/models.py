@@ -23,7 +23,7 @@ from cohort_spark.plans.chunks import number_rows
 LOGISTIC_C = [0.001, 0.01, 0.1, 1, 10, 100]
 FOREST_SPACE = {
     "numTrees": [100, 200],
-    "maxDepth": [10, 30],
+    "maxDepth": [10, 20],
     "minInstancesPerNode": [1, 2],
     "featureSubsetStrategy": ["sqrt", "log2"],
 }
@@ -35,21 +35,12 @@ def to_features(df: DataFrame, cols: Sequence[str] | str, keep: Sequence[str]) -
     return df.select(*keep, array_to_vector(values).alias("features"))
 
 
-PARTITION_ROWS = 10_000
-
-
-def compacted(df: DataFrame, rows: int) -> DataFrame:
-    """A small training set in few partitions: an iterative fit runs a job per step, and its tasks should have
-    work.  No shuffle; a large set keeps its partitions."""
-    return df.coalesce(rows // PARTITION_ROWS + 1)
-
-
 def fit_logistic(
     df: DataFrame, label: str = "label", C: float = 1.0, penalty: str = "l2", max_iter: int = 1000, tol: float = 1e-6
 ):
     """Logistic regression that weighs the summed loss with ``C`` against the penalty.  Features as they are."""
     rows = max(df.count(), 1)
-    return _logistic(label, penalty, max_iter, tol).setRegParam(1.0 / (C * rows)).fit(compacted(df, rows))
+    return _logistic(label, penalty, max_iter, tol).setRegParam(1.0 / (C * rows)).fit(df)
 
 
 def _logistic(label: str, penalty: str, max_iter: int, tol: float) -> LogisticRegression:
@@ -63,7 +54,7 @@ def fit_random_forest(df: DataFrame, label: str = "label", trees: int = 100, dep
     return RandomForestClassifier(
         labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt",
         seed=seed, **options,
-    ).fit(compacted(df, df.count()))
+    ).fit(df)
 
 
 def predict_positive(model, df: DataFrame, keep: Sequence[str], out: str = "score") -> DataFrame:
@@ -85,11 +76,11 @@ def stratified_folds(
 
 def _search(df: DataFrame, estimator, grid: list, label: str, folds: int, parallelism: int, names: Sequence[str]):
     """Cross-validated AUROC of every setting, and the model refitted with the best one."""
-    judge = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
+    judge = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)  # the whole curve
     search = CrossValidator(
         estimator=estimator, estimatorParamMaps=grid, evaluator=judge, numFolds=folds, foldCol="fold",
         parallelism=parallelism,
-    ).fit(compacted(df, df.count()))
+    ).fit(df)
     rows = []
     for setting, score in zip(grid, search.avgMetrics):
         by_name = {p.name: v for p, v in setting.items()}

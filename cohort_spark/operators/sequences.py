@@ -11,8 +11,9 @@ from cohort_spark.functions.time import normalize_time
 from cohort_spark.operators.impute import MONTH_HOURS
 from cohort_spark.operators.reshape import feature_index, index_features, melt
 from cohort_spark.operators.scale import minmax_scale
-from cohort_spark.plans.chunks import attach, number_rows, time_chunk, with_parameters
+from cohort_spark.plans.chunks import attach, number_rows, time_chunk
 
+#: Steps of a row where none are asked for; a longer history goes on in further rows.
 MOST_STEPS = 100_000
 
 
@@ -62,27 +63,16 @@ def build_sequences(
     step = F.array(*[F.coalesce(F.col(c).cast("float"), F.lit(0.0).cast("float")) for c in features])
     chunk = None if chunk_hours is None else time_chunk(ts, chunk_hours)
     if pad_to is None:
-        lengths = df.groupBy(entity).agg(F.count(F.lit(1)).alias("n"))
-        longest = lengths.agg(F.max("n").cast("int").alias("steps"))
-        rows = df.select(entity, ts, F.lit(0).cast("bigint").alias("segment"), step.alias("step"))
-    else:
-        longest = None
-        numbered = number_rows(df.select(entity, ts, step.alias("step")), [entity], [ts], "__at", chunk)
-        segment = F.floor((F.col("__at") - 1) / pad_to).alias("segment")
-        rows = numbered.select(entity, ts, segment, "step")
+        longest = df.groupBy(entity).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        pad_to = min(longest or 1, MOST_STEPS)
+    numbered = number_rows(df.select(entity, ts, step.alias("step")), [entity], [ts], "__at", chunk)
+    segment = F.floor((F.col("__at") - 1) / pad_to).alias("segment")
+    rows = numbered.select(entity, ts, segment, "step")
     groups = rows.groupBy(entity, "segment").agg(F.array_sort(F.collect_list(F.struct(ts, "step"))).alias("steps"))
     groups = groups.select(
         entity, "segment", F.size("steps").alias("length"), F.transform("steps", lambda s: s["step"]).alias("sequence")
     )
-    if longest is None:
-        padded = groups.withColumn("__to", F.lit(pad_to))
-    else:
-        checked = longest.select(
-            F.when(F.col("steps") <= MOST_STEPS, F.col("steps"))
-            .otherwise(F.raise_error(F.lit(f"a history has more than {MOST_STEPS} steps: give pad_to")).cast("int"))
-            .alias("steps")
-        )
-        padded = with_parameters(groups, checked, "__fit").withColumn("__to", F.col("__fit.steps")).drop("__fit")
+    padded = groups.withColumn("__to", F.lit(pad_to))
     filler = F.array_repeat(zero, F.col("__to") - F.col("length"))
     out = padded.select(entity, "segment", "length", F.concat("sequence", filler).alias("sequence"))
     return out if labels is None else attach(out, labels, [entity], "inner")

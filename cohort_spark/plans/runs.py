@@ -58,6 +58,8 @@ def value_runs(
     """
     by, names = list(by), list(weights)
     known = df.where(F.col(value).isNotNull())
+    if dict(df.dtypes)[value] in ("float", "double"):
+        known = known.where(~F.isnan(value))  # NaN is no value
     cuts = value_cuts(known, value, chunks or chunk_count(df))
     counted = known.groupBy(*by, value).agg(*[F.sum(col).alias(w) for w, col in weights.items()])
     counted = with_value_chunk(counted, value, cuts)

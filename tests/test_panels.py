@@ -206,3 +206,15 @@ def test_samples_are_reproducible(frame):
     one, two = aggregate.sample_entities(df, 3, 1), aggregate.sample_entities(df.repartition(5), 3, 1)
     assert rows(one) == rows(two) and one.count() == 30
     assert aggregate.sample_rows(df, 7, 1, "x").count() == 7
+
+
+def test_long_histories_go_on_in_further_rows(frame, monkeypatch):
+    from cohort_spark.operators import sequences
+
+    monkeypatch.setattr(sequences, "MOST_STEPS", 4)
+    steps = [(1, f"2024-01-01 {h:02d}:00:00", float(h)) for h in range(10)] + [(2, "2024-01-01 00:00:00", 5.0)]
+    df = frame("entity_id int, ts timestamp_ntz, x double", steps)
+    got = {(r.entity_id, r.segment): (r.length, [s[0] for s in r.sequence]) for r in sequences.build_sequences(df, ["x"]).collect()}
+    assert got == {
+        (1, 0): (4, [0.0, 1.0, 2.0, 3.0]), (1, 1): (4, [4.0, 5.0, 6.0, 7.0]), (1, 2): (2, [8.0, 9.0, 0.0, 0.0]), (2, 0): (1, [5.0, 0.0, 0.0, 0.0]),
+    }

@@ -154,3 +154,32 @@ def test_silhouette(frame, monkeypatch, block):
     df = df.withColumn("embedding", F.array("x", "y"))
     assert silhouette(df).first()[0] == pytest.approx(brute_silhouette(points, labels, 1))
     assert silhouette_squared(df).first()[0] == pytest.approx(brute_silhouette(points, labels, 2))
+
+
+def test_p_values_hold_for_any_degrees_of_freedom():
+    for df in (1e8, 1e9):
+        below = explore._gamma_q(df / 2, (df - math.sqrt(2 * df)) / 2)
+        assert below == pytest.approx(0.8413447, abs=2e-5)
+        assert explore._t_tail(1.96, df) == pytest.approx(math.erfc(1.96 / math.sqrt(2)), rel=1e-7)
+    for low, high in ((1.99e5, 2.01e5), (199_990.0, 200_010.0)):  # both sides of the change of form agree
+        for z in (-2.5, -0.3, 0.0, 1e-5, 0.7, 3.0):
+            tails = [explore._gamma_q(d / 2, (d + z * math.sqrt(2 * d)) / 2) for d in (low, high)]
+            assert tails[0] == pytest.approx(tails[1], abs=2e-5)
+    for d in (2, 4, 10, 60):  # an even number of degrees: a finite sum
+        x = d * 0.9
+        total = sum(math.exp(i * math.log(x / 2) - x / 2 - math.lgamma(i + 1)) for i in range(d // 2))
+        assert explore._gamma_q(d / 2, x / 2) == pytest.approx(total, rel=1e-12)
+    assert explore._t_tail(2.0, 1) == pytest.approx(1 - 2 * math.atan(2) / math.pi, rel=1e-12)
+
+
+def test_welch_t_needs_two_groups(frame):
+    three = frame("g int, x double", [(g, float(x)) for g in range(3) for x in range(3)])
+    with pytest.raises(Exception, match="found 3"):
+        explore.welch_t(three, "x", "g").collect()
+    with pytest.raises(Exception, match="found 1"):
+        explore.welch_t(three.where("g = 1"), "x", "g").collect()
+
+
+def test_nan_is_no_value(frame):
+    df = frame("x double", [(1.0,), (float("nan"),), (3.0,), (None,)])
+    assert exact_quantiles(df, "x", {"m": 0.5}).first().m == 2.0
