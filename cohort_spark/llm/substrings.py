@@ -137,7 +137,8 @@ def _runs(words: Words, ids, marks, frequent, window: int, gram: int) -> list[np
         if first.get(string, own) >= own:
             first[string] = own
     lead = np.fromiter((first[s] == d for s, d in zip(strings, owner)), dtype=bool, count=len(strings))
-    bucket = np.where(lead, smallest[begins].view(np.int64), mark)
+    spread = mark ^ (doc.astype(np.int64) * np.int64(0x5851F42D4C957F2D))  # copies of one text have one mark
+    bucket = np.where(lead, smallest[begins].view(np.int64), spread)
     return [bucket, doc, mark, begins - words.first[text[begins]], stops - begins, lead]
 
 
