@@ -109,7 +109,7 @@ def _(t):
     return rounded(impute.interpolate_time(hourly_panel(t), VARIABLES, chunk_hours=48), VARIABLES)
 
 
-GLOBAL_COLS = ["click", "view"]
+GLOBAL_COLS = VARIABLES
 
 
 def _global_sql(c: str) -> str:
@@ -126,7 +126,7 @@ def _global_sql(c: str) -> str:
     "interpolate_time_global",
     f"""with {PANEL_SQL}, {", ".join(_global_sql(c) for c in GLOBAL_COLS)}
     select entity_id, ts, {", ".join(f"{round_sql(f'coalesce({c}, fill_{c}.v)')} as {c}" for c in GLOBAL_COLS)}
-    from panel join fill_click using (ts) join fill_view using (ts)""",
+    from panel {" ".join(f"join fill_{c} using (ts)" for c in GLOBAL_COLS)}""",
 )
 def _(t):
     panel = hourly_panel(t).select("entity_id", "ts", *GLOBAL_COLS)
@@ -158,7 +158,7 @@ def _(t):
 
 # ---- scaling ----------------------------------------------------------------------------------------------------
 
-SCALED = ["click", "view"]
+SCALED = VARIABLES
 FIT_SQL = f"""{PANEL_SQL}, train as (select * from panel where {SPLIT_SQL} = 'a'),
 fit as (select {cols_sql("avg({c}) as {c}_mean, stddev_pop({c}) as {c}_sd, min({c}) as {c}_min, max({c}) as {c}_max, quantile_cont({c}, 0.25) as {c}_q1, quantile_cont({c}, 0.5) as {c}_q2, quantile_cont({c}, 0.75) as {c}_q3")} from train)"""
 
@@ -170,13 +170,12 @@ def panel_and_train(t):
 
 @query(
     "standard_scale",
-    f"""with {FIT_SQL} select entity_id, ts, {cols_sql(round_sql("({c} - {c}_mean) / {c}_sd") + " as {c}", SCALED)},
-    {round_sql("error")} as error from panel, fit""",
+    f"""with {FIT_SQL} select entity_id, ts, {cols_sql(round_sql("({c} - {c}_mean) / {c}_sd") + " as {c}", SCALED)}
+    from panel, fit""",
 )
 def _(t):
     panel, train = panel_and_train(t)
-    frame = panel.select("entity_id", "ts", *SCALED, "error")
-    return rounded(scale.standard_scale(frame, train, SCALED), [*SCALED, "error"])
+    return rounded(scale.standard_scale(panel.select("entity_id", "ts", *SCALED), train, SCALED), SCALED)
 
 
 @query(

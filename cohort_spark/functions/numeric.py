@@ -26,8 +26,8 @@ def bin_centre(col: Column, width: float) -> Column:
 
 
 def two_decimals(col: Column) -> Column:
-    """``%.2f`` text, rounded half up through a decimal."""
-    return col.cast("decimal(28,2)").cast("string")
+    """``%.2f`` text, rounded half up through a decimal; numbers too large for one have no digits to round."""
+    return F.coalesce(col.try_cast("decimal(28,2)").cast("string"), F.format_string("%.2f", col.cast("double")))
 
 
 def nudge(digits: int) -> float:

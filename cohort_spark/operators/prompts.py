@@ -138,6 +138,7 @@ def prompt_sweep(
     examples: int = 3,
     seed: int = 42,
     key: str = "entity_id",
+    prompts: Mapping[str, str] = SYSTEM_PROMPTS,
 ) -> DataFrame:
     """Every text column, with and without examples, in both answer modes: AUROC and average precision of each.
 
@@ -155,7 +156,7 @@ def prompt_sweep(
             context = F.when(fits, F.col(f"__shown.{text}_{mode}")).otherwise(context)
     settings = ["text", "shots", "mode"]
     asked = rows.select(
-        key, label, *settings, system_prompt(F.col("mode")).alias("system"), user_prompt(chosen, context).alias("prompt")
+        key, label, *settings, system_prompt(F.col("mode"), prompts).alias("system"), user_prompt(chosen, context).alias("prompt")
     )
     shared_folder(df.sparkSession)
     # written once: the metrics read the answers more than once, and asking a model is the dear part

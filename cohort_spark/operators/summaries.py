@@ -77,9 +77,15 @@ def _sentence(words: Sequence[str], values: Sequence[Column]) -> Column:
     return F.concat(*parts)
 
 
+MISSING = "unknown"
+
+
 def _plain_number(x: Column) -> Column:
-    """A float as text with at least one decimal."""
-    return x.cast("double").cast("string")
+    """A float as text with at least one decimal, never with an exponent."""
+    x = x.cast("double")
+    exponent = x.cast("string").contains("E")
+    plain = F.regexp_replace(x.try_cast("decimal(38,10)").cast("string"), "(\\.[0-9]+?)0+$", "$1")
+    return F.when(exponent, F.coalesce(plain, F.format_string("%.1f", x))).otherwise(x.cast("string"))
 
 
 def entity_summaries(
@@ -116,10 +122,11 @@ def entity_summaries(
     # at most one line per listed variable
     texts = lines.groupBy(entity).agg(F.array_sort(F.collect_list(F.struct("place", "plain", "trend"))).alias("lines"))
     joined = attach(heads, texts, [entity])
-    years = F.col(f"h.{age}").cast("int").cast("string")
+    missing = F.lit(MISSING)  # a header states what isn't known
+    years = F.coalesce(F.col(f"h.{age}").cast("int").cast("string"), missing)
     sex = F.when(F.col(f"h.{gender}") == 1, "male").otherwise("female")
     plain = _sentence(HEADER_STATISTICAL, [years, sex])
-    trend = _sentence(HEADER_TREND, [years, sex, _plain_number(F.col(f"h.{weight}"))])
+    trend = _sentence(HEADER_TREND, [years, sex, F.coalesce(_plain_number(F.col(f"h.{weight}")), missing)])
 
     def text(head: Column, field: str) -> Column:
         kept = F.filter(F.transform("lines", lambda x: x[field]), lambda x: x.isNotNull())

@@ -164,3 +164,22 @@ def test_models(frame):
     assert models.reconstruction_error(model, codes).first().mse == pytest.approx(singular[2] ** 2 / 120 / 3)
     sweep = models.label_scarcity_sweep(table, {"all": table}, [20, 60])
     assert {(r.sample_size, r.n) for r in sweep.collect()} == {(20, 120), (60, 120)}
+
+
+def test_headers_state_what_is_missing_and_numbers_have_no_exponent(frame):
+    from pyspark.sql import functions as F
+
+    from cohort_spark.functions.numeric import two_decimals
+    from cohort_spark.operators.summaries import _plain_number, entity_summaries
+
+    df = frame(
+        "entity_id int, ts timestamp_ntz, Age double, Gender double, Weight double, HR double",
+        [(1, "2024-01-01 00:00:00", None, 1.0, None, 80.0), (2, "2024-01-01 00:00:00", 70.0, 0.0, 81.5, 60.0)],
+    )
+    got = {r.entity_id: r for r in entity_summaries(df, ["HR"]).collect()}
+    assert got[1].summary_statistical.count("unknown") == 1 and got[1].summary_trend.count("unknown") == 2
+    assert "unknown" not in got[2].summary_trend and "81.5" in got[2].summary_trend
+    numbers = frame("x double", [(1e8,), (0.00025,), (3.0,), (1e30,)])
+    text = [r.t for r in numbers.select(_plain_number(F.col("x")).alias("t")).collect()]
+    assert text[:3] == ["100000000.0", "0.00025", "3.0"] and "E" not in text[3]
+    assert numbers.select(two_decimals(F.col("x")).alias("t")).collect()[3].t.startswith("1000000000000000")
