@@ -15,7 +15,7 @@ __all__ = ["ORACLES", "QUERIES"]
 SHARDS = 24
 
 
-@query("op1_quality")
+@query("op1_quality", sql.QUALITY)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 

@@ -1,5 +1,7 @@
 """The SQL that registered queries must agree with."""
 
+from cohort_spark.llm.quality import FINE, LEAST_TEXTS, LEAST_WORDS, MEASURES, MOST_REPEATED
+
 WORDS = r"'[^\x20\x09-\x0D]+'"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -43,3 +45,56 @@ scores as (
   from ints q join ints c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id)
 select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
 from scores qualify rank <= 10"""
+
+
+
+def _level(name: str, keys: str) -> str:
+    """Cutoffs of the sketches merged over everything but ``keys``."""
+    by = f"{keys}, measure" if keys else "measure"
+    return f"""merged_{name} as (select {by}, bucket, sum(n) as n from sketch group by {by}, bucket),
+running_{name} as (select {by}, bucket, sum(n) over (partition by {by} order by bucket) as upto, sum(n) over (partition by {by}) as texts
+  from merged_{name}),
+edges_{name} as (select {by}, max(texts) as texts, min(bucket) filter (where upto >= 0.5::double * texts) as median,
+  min(bucket) filter (where upto >= quantile * texts) as edge
+  from running_{name} join rules using (measure) group by {by}),
+{name} as (select {by}, texts, edge + case when above then 1 else -1 end * greatest(reach * abs(edge - median), slack) as cutoff
+  from edges_{name} join rules using (measure))"""
+
+
+_RULES = ", ".join(f"('{m.name}', {m.quantile}::double, {m.reach}, {m.slack}, {str(m.upper).lower()})" for m in MEASURES)
+_LONG = " union all ".join(
+    f"select lang, source, '{m.name}' as measure, ({m.value.replace(' div ', ' // ')})::bigint as v from measured where n_words > 0" for m in MEASURES
+)
+_CUTS = ", ".join(f"max(cutoff) filter (where measure = '{m.name}')::bigint as {m.name}_cut" for m in MEASURES)
+_WITHIN = " and ".join(f"({m.value.replace(' div ', ' // ')}) {'<=' if m.upper else '>='} {m.name}_cut" for m in MEASURES)
+
+QUALITY = f"""
+with texts as (
+  select doc_id, lang, source, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), {WORDS}) as w from documents),
+windows as (select doc_id, i, w[i] as a, w[i + 1] as b, w[i + 2] as c from texts, unnest(range(1, len(w) - 1)) as r(i)),
+found as (select doc_id, i, count(*) over (partition by doc_id, a, b, c) as n from windows),
+covered as (select doc_id, count(distinct place) as n from (select doc_id, unnest([i, i + 1, i + 2]) as place from found where n > 1) group by doc_id),
+lined as (select doc_id, [x for x in string_split(t, chr(10)) if regexp_matches(x, {WORDS})] as lines from texts),
+measured as (
+  select t.doc_id, lang, source, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars,
+    (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols, len(lines)::bigint as n_lines,
+    (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(c.n, 0)::bigint as n_repeat_words
+  from texts t join lined l on t.doc_id = l.doc_id left join covered c on t.doc_id = c.doc_id),
+rules(measure, quantile, reach, slack, above) as (values {_RULES}),
+sketch as (
+  select lang, source, measure, (v >> greatest(length(bin(v)) - {FINE + 1}, 0)) << greatest(length(bin(v)) - {FINE + 1}, 0) as bucket, count(*) as n
+  from ({_LONG}) group by all),
+{_level("own", "lang, source")},
+{_level("language", "lang")},
+{_level("everything", "")},
+cuts as (select o.lang, o.source, {_CUTS} from (
+  select o.lang, o.source, o.measure,
+    case when o.texts >= {LEAST_TEXTS} then o.cutoff when l.texts >= {LEAST_TEXTS} then l.cutoff else e.cutoff end as cutoff
+  from own o join language l on o.lang is not distinct from l.lang and o.measure = l.measure join everything e on o.measure = e.measure) o
+  group by o.lang, o.source),
+judged as (
+  select m.*, c.* exclude (lang, source), n_words < {LEAST_WORDS} or 100 * n_repeat_words > {MOST_REPEATED} * n_words as base_failed
+  from measured m left join cuts c on m.lang is not distinct from c.lang and m.source is not distinct from c.source)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and coalesce({_WITHIN}, false) as kept, {", ".join(f"{m.name}_cut" for m in MEASURES)}
+from judged"""
