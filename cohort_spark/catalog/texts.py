@@ -17,7 +17,7 @@ from cohort_spark.operators.clients import HashingEmbedder, RuleClient, Statisti
 from cohort_spark.operators.relate import expand_settings
 from cohort_spark.session import scratch_path
 from cohort_spark.sources import stages, tables
-from cohort_spark.sources.observations import extract_entity_id
+from cohort_spark.sources.observations import extract_entity_id, ingest_panel
 
 # ---- tokens and sequences -------------------------------------------------------------------------------------------
 
@@ -348,6 +348,47 @@ def _(t):
     return extract_entity_id(rows.unionByName(ids))
 
 
+INGEST_SQL = PANEL_SQL.replace("user_id as entity_id, ts, event_type", "user_id as entity_id, date_trunc('minute', ts) as ts, event_type")
+
+
+@query("ingest_files", f"with {INGEST_SQL} select entity_id, ts, {cols_sql(round_sql('{c}') + ' as {c}')} from panel")
+def _(t):
+    """Events as files of elapsed time, parameter and value, one per entity, and back to the hourly panel."""
+    root = scratch_path(t.spark, "observations")
+    minutes = F.expr(f"timestampdiff(minute, timestamp_ntz '{BASE_TIME}', ts)")
+    clock = F.concat_ws(":", F.lpad((minutes / 60).cast("int").cast("string"), 3, "0"), F.lpad((minutes % 60).cast("string"), 2, "0"))
+    rows = observations(t).where("value is not null").select(
+        "entity_id", "event_id", clock.alias("Time"), F.col("variable").alias("Parameter"), F.col("value").alias("Value")
+    )
+    ids = rows.select("entity_id").distinct().select(
+        "entity_id",
+        F.lit(None).cast("bigint").alias("event_id"),
+        F.lit("00:00").alias("Time"),
+        F.lit("RecordID").alias("Parameter"),
+        F.col("entity_id").cast("double").alias("Value"),
+    )
+    files = rows.unionByName(ids).repartition("entity_id").sortWithinPartitions("entity_id", "event_id").drop("event_id")
+    files.write.partitionBy("entity_id").csv(root, header=True)
+    return rounded(ingest_panel(t.spark, f"{root}/*/*.csv", VARIABLES, BASE_TIME), VARIABLES)
+
+
+@query(
+    "all_stages",
+    f"""with {PANEL_SQL} select stage, {SPLIT_SQL} as split, count(*) as n, count(click) as clicks
+    from panel, (values {", ".join(f"('{s}')" for s in stages.STAGES)}) as s(stage) group by all""",
+)
+def _(t):
+    """The panel written as every stage and read back by that stage's own loader."""
+    root = scratch_path(t.spark, "stages")
+    panel = hourly_panel(t).select("entity_id", "ts", "click", split_of())
+    found = None
+    for stage in stages.STAGES:
+        stages.write_stage(panel, root, stage)
+        loaded = getattr(stages, f"load_{stage}")(t.spark, root).select(F.lit(stage).alias("stage"), "split", "click")
+        found = loaded if found is None else found.unionByName(loaded)
+    return found.groupBy("stage", "split").agg(F.count("*").alias("n"), F.count("click").alias("clicks"))
+
+
 @query(
     "stage_round_trip",
     f"""with {PANEL_SQL} select entity_id, ts, {round_sql("click")} as click, {SPLIT_SQL} as split from panel
