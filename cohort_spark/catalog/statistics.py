@@ -158,7 +158,15 @@ def _(t):
     return rounded(explore.cramers_v(t.orders, "o_orderpriority", "o_orderstatus"), ["cramers_v"])
 
 
-@query("chi_square_p")
+# an even number of degrees of freedom (here 4 * 2): the tail is a finite sum
+CHI_P_SQL = "(select sum(exp(i * ln(statistic / 2) - statistic / 2 - lgamma(i + 1))) from range(0, df // 2) as terms(i))"
+
+
+@query(
+    "chi_square_p",
+    f"""with {CHI_SQL} select {round_sql("statistic")} as statistic, df, n,
+    {round_sql("sqrt(statistic / (n * k))")} as cramers_v, {round_sql(CHI_P_SQL)} as p from chi""",
+)
 def _(t):
     test = explore.chi_square(t.orders, "o_orderpriority", "o_orderstatus")
     p = explore.chi_square_p(F.col("statistic"), F.col("df").cast("double"))
@@ -182,7 +190,18 @@ def _(t):
     return rounded(explore.welch_t(frame, "value", "group"), ["mean_first", "mean_second", "t", "df"])
 
 
-@query("welch_t_p")
+# the density of t summed at the middle of 20,000 steps between zero and t
+T_P_SQL = """1 - 2 * abs(t) / 20000 * (select sum(exp(lgamma((df + 1) / 2) - lgamma(df / 2) - 0.5 * ln(df * pi())
+  - (df + 1) / 2 * ln(1 + pow(abs(t) * (i + 0.5) / 20000, 2) / df))) from range(0, 20000) as steps(i))"""
+
+
+@query(
+    "welch_t_p",
+    f"""with {WELCH_SQL}, test as (select mean_first, mean_second, (mean_first - mean_second) / sqrt(va + vb) as t,
+      pow(va + vb, 2) / (va * va / (na - 1) + vb * vb / (nb - 1)) as df from pair)
+    select {round_sql("mean_first")} as mean_first, {round_sql("mean_second")} as mean_second, {round_sql("t")} as t,
+    {round_sql("df")} as df, {round_sql(T_P_SQL)} as p from test""",
+)
 def _(t):
     frame = t.events.select((F.col("user_id") % 2).alias("group"), "value")
     test = explore.welch_t(frame, "value", "group")
