@@ -227,7 +227,16 @@ def _(t):
     )
 
 
-@query("batch_infer")
+# the stand-in client grades a prompt by its last number
+PROMPT_SQL = f"""prompts as (select conv_id, turn, '{prompts.INPUT}' || text || '{prompts.ANSWER}' as prompt from conversations),
+graded as (select *, regexp_extract_all(prompt, '\\d+(?:\\.\\d+)?') as numbers from prompts)"""
+
+
+@query(
+    "batch_infer",
+    f"""with {PROMPT_SQL} select conv_id, turn, '<think>' || length(prompt) || ' characters</think> ' ||
+      case when len(numbers) = 0 then 1 else least(10, 1 + floor(numbers[-1]::double / 10)::bigint) end as answer from graded""",
+)
 def _(t):
     rows = t.conversations.select(
         "conv_id", "turn", prompts.system_prompt("score").alias("system"), prompts.user_prompt(F.col("text")).alias("prompt")
@@ -263,13 +272,35 @@ def _(t):
     return made.select("doc_id", F.transform("embedding", lambda v: half_up(v.cast("double"), 5)).alias("embedding"))
 
 
-@query("embed_series")
+TOKENS_SQL = f"""{PANEL_SQL}, readings as (
+  select entity_id, ts, variable, value as v from (select entity_id, ts, {cols_sql("{c}")} from panel)
+    unpivot (value for variable in ({", ".join(VARIABLES)})) where value is not null),
+tokens as (
+  select entity_id, variable, ts, [v::float, (v - coalesce(lag(v) over w, v))::float, (sum(v) over r / count(v) over r)::float,
+    (max(v) over r)::float, (min(v) over r)::float] as token
+  from readings window w as (partition by entity_id, variable order by ts),
+    r as (partition by entity_id, variable order by ts rows between unbounded preceding and current row))"""
+
+
+@query(
+    "embed_series",
+    f"""with {TOKENS_SQL} select entity_id, variable, 0::bigint as piece,
+      list([{round_sql("x::double", 3)} for x in token] order by ts) as tokens from tokens group by entity_id, variable""",
+)
 def _(t):
     made = vectors.embed_series(hourly_panel(t), VARIABLES, StatisticsEmbedder, chunk_hours=None)
-    return made.select("entity_id", "variable", "piece", F.size("tokens").alias("tokens"))
+    rounded_tokens = F.transform("tokens", lambda token: F.transform(token, lambda v: half_up(v.cast("double"), 3)))
+    return made.select("entity_id", "variable", "piece", rounded_tokens.alias("tokens"))
 
 
-@query("patient_embedding")
+@query(
+    "patient_embedding",
+    f"""with {TOKENS_SQL}, {OUTCOMES_SQL}, parts as (select entity_id, variable, unnest(token)::double as x, generate_subscripts(token, 1) as i from tokens),
+    means as (select entity_id, variable, i, avg(x) as x from parts group by all),
+    pooled as (select entity_id, i, avg(x) as x from means group by all)
+    select entity_id, list({round_sql("x")} order by i) as embedding, any_value(label) as label
+    from pooled join outcomes using (entity_id) group by entity_id""",
+)
 def _(t):
     pooled = vectors.patient_embedding(hourly_panel(t), VARIABLES, StatisticsEmbedder, chunk_hours=None)
     labelled = vectors.labelled_embeddings(pooled, outcomes(t))
