@@ -73,3 +73,19 @@ def test_stream_gives_the_same_hours(spark, frame, tmp_path):
     wide = df.select("entity_id", "ts", F.col("value").alias("HR"))
     want = rows(discretize(wide, ["HR"]), "ts")
     assert got and got == want[: len(got)] and len(got) >= len(want) - 2
+
+
+def test_first_of_equal_times_counts_in_the_stream(spark, frame, tmp_path):
+    schema = "entity_id bigint, ts timestamp_ntz, variable string, value double"
+    first = [(1, f"2024-01-01 00:{m}:00", "HR", float(m)) for m in ("10", "20", "30")]
+    again = [(1, "2024-01-01 00:20:00", "HR", 900.0), (1, "2024-01-01 00:40:00", "HR", None), (1, "2024-01-01 03:00:00", "HR", 1.0)]
+    for part, data in enumerate((first, again, [(1, "2024-01-01 09:00:00", "HR", 2.0)])):
+        frame(schema, data).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(frame(schema, data).schema).parquet(str(tmp_path / "in"))
+        query = (
+            discretize_stream(stream, ["HR"], delay="1 hour").writeStream.format("parquet").outputMode("append")
+            .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start(str(tmp_path / "out"))
+        )
+        query.awaitTermination()
+    got = rows(spark.read.parquet(str(tmp_path / "out")), "ts")
+    assert (got[0][0], str(got[0][1]), got[0][2]) == (1, "2024-01-01 01:00:00", 20.0)
