@@ -35,7 +35,7 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op3_secrets")
+@query("op3_secrets", sql.SECRETS)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.report(table(spark, folder, "documents"))
 

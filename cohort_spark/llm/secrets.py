@@ -26,7 +26,7 @@ CANDIDATE = 20
 RATIO = 700
 #: The models are fitted on the labelled strings of about this many documents, chosen by a hash of their id.
 SAMPLE_DOCS = 5_000
-ORDINARY = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{8,}(?![A-Za-z0-9+/_=-])"
+ORDINARY = r"[A-Za-z0-9+/_=-]{8,}"
 RANDOM_TOKEN = r"[A-Za-z0-9+/_=-]{%d,}" % CANDIDATE
 
 

@@ -1,6 +1,7 @@
 """The SQL that registered queries must agree with."""
 
 from cohort_spark.llm.quality import FINE, LEAST_TEXTS, LEAST_WORDS, MEASURES, MOST_REPEATED
+from cohort_spark.llm.secrets import ACCESS, ALPHABET, ASSIGN, ASSIGN_LEAST, HEX, ORDINARY, RANDOM_TOKEN, RATIO
 
 WORDS = r"'[^\x20\x09-\x0D]+'"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -98,3 +99,55 @@ judged as (
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   not base_failed and coalesce({_WITHIN}, false) as kept, {", ".join(f"{m.name}_cut" for m in MEASURES)}
 from judged"""
+
+
+def _text(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _spans(kind: int, source: str, pattern: str, keep: str = "true", value: str = "m") -> str:
+    """Places of all matches: the texts between matches and the matches alternate."""
+    return f"""select doc_id, (list_sum([length(x) for x in parts[1:i]]) + coalesce(list_sum([length(x) for x in found[1:i - 1]]), 0))::bigint as start,
+      {kind} as kind, length(found[i]) as m, found[i] as body, length(vals[i]) as v
+    from (select doc_id, regexp_extract_all(t, {_text(pattern)}) as found, string_split_regex(t, {_text(pattern)}) as parts,
+      regexp_extract_all(t, {_text(pattern)}, {value}) as vals from {source}) s, unnest(range(1, len(found) + 1)) as r(i)"""
+
+
+_LETTERS = f"(select unnest(string_split('{ALPHABET}', '')) as c)"
+
+# The models are fitted on all labelled strings, as the operator does up to SAMPLE_DOCS documents.
+SECRETS = f"""
+with texts as (select doc_id, coalesce(text, '') as t from documents),
+assigned as ({_spans(0, "texts", ASSIGN, value="1")}),
+fixed as (
+  select doc_id, start, kind, start + m as stop from assigned where v >= {ASSIGN_LEAST}
+  union all select doc_id, start, kind, start + m from ({_spans(1, "texts", ACCESS, value="0")})
+  union all select doc_id, start, kind, start + m from ({_spans(2, "texts", HEX, value="0")})),
+stripped as (select doc_id, regexp_replace(regexp_replace(regexp_replace(t, {_text(ASSIGN)}, ' ', 'g'), {_text(ACCESS)}, ' ', 'g'), {_text(HEX)}, ' ', 'g') as t from texts),
+strings as (
+  select false as random, unnest(regexp_extract_all(t, {_text(ORDINARY)})) as s from stripped
+  union all select true, unnest(list_distinct(list_concat(
+    [x for x in regexp_extract_all(t, {_text(ASSIGN)}, 1) if length(x) >= {ASSIGN_LEAST}], regexp_extract_all(t, {_text(ACCESS)}), regexp_extract_all(t, {_text(HEX)})))) from texts),
+pairs as (select random, s[i] as a, s[i + 1] as b, count(*) as n from strings, unnest(range(1, length(s))) as r(i) group by all),
+grid as (
+  select x.c as a, y.c as b, coalesce(p.n, 0) as seen, coalesce(q.n, 0) as other from {_LETTERS} x cross join {_LETTERS} y
+  left join pairs p on p.random and p.a = x.c and p.b = y.c left join pairs q on not q.random and q.a = x.c and q.b = y.c),
+model as (
+  select a, b, round(1000 * ln((0.5::double / {len(ALPHABET)} + 0.5::double * case when sum(seen) over (partition by a) > 0
+    then seen / sum(seen) over (partition by a) else 1.0::double / {len(ALPHABET)} end)
+    / ((other + 1) / (sum(other) over (partition by a) + {len(ALPHABET)}))))::bigint as score from grid),
+candidates as (
+  select c.doc_id, c.start, c.start + c.m as stop, c.body from ({_spans(3, "texts", RANDOM_TOKEN, value="0")}) c
+  where not exists (select 1 from fixed f where f.doc_id = c.doc_id and f.start < c.start + c.m and c.start < f.stop)),
+added as (
+  select doc_id, start, 3 as kind, stop from candidates c, unnest(range(1, length(body))) as r(i)
+  join model on model.a = c.body[i] and model.b = c.body[i + 1]
+  group by doc_id, start, stop having sum(score) >= {RATIO} * (stop - start - 1)),
+every as (select * from fixed union all select * from added),
+said as (select *, ['assign', 'access', 'hex', 'random'][kind + 1] || ':' || start || ':' || stop as words from every),
+listed as (
+  select doc_id, {", ".join(f"count(*) filter (where kind = {k}) as n{k}" for k in range(4))},
+    string_agg(words, ',' order by start, kind) filter (where kind < 3) as base, string_agg(words, ',' order by start, kind) as spans
+  from said group by doc_id)
+select doc_id, {", ".join(f"coalesce(n{k}, 0)::bigint as n_{name}" for k, name in enumerate(("assign", "access", "hex", "random")))},
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans from texts left join listed using (doc_id)"""
