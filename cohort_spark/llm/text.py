@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -26,10 +26,10 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     """``base ** 0 .. base ** (n - 1)`` modulo 2 ** 64, kept for the next call."""
     have = _powers.get(int(base))
     if have is None or len(have) < n:
-        steps = np.full(max(n, 1 << 16), base, dtype=np.uint64)
+        steps = np.full(max(n, 1 << 12), base, dtype=np.uint64)
         steps[0] = 1
         have = np.cumprod(steps, dtype=np.uint64)
-        if n <= 4 * SLICE_BYTES:  # a single huge text must not leave its table behind
+        if n <= 1 << 20:  # a single huge text must not leave its table behind
             _powers[int(base)] = have
     return have[:n]
 
@@ -53,12 +53,17 @@ class Words:
     first: np.ndarray
 
     def hashes(self) -> np.ndarray:
-        """One 64-bit hash per word."""
-        n = len(self.data)
-        total = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * powers(_BASE, n), out=total[1:])
-        value = (total[self.ends] - total[self.starts]) * powers(_BASE_INVERSE, n + 1)[self.starts]
-        return mix(value)
+        """One 64-bit hash per word; powers count from the start of the word, so their table stays small."""
+        lengths = self.ends - self.starts
+        if not len(lengths):
+            return np.zeros(0, dtype=np.uint64)
+        inside = np.flatnonzero(~_SPACE[self.data])
+        first = np.zeros(len(lengths) + 1, dtype=np.int64)
+        np.cumsum(lengths, out=first[1:])
+        place = np.arange(len(inside), dtype=np.int64) - np.repeat(first[:-1], lengths)
+        value = powers(_BASE, int(lengths.max()))[place]
+        value *= self.data[inside] + np.uint64(1)
+        return mix(np.add.reduceat(value, first[:-1]) + lengths.astype(np.uint64))
 
     def joined(self) -> tuple[np.ndarray, np.ndarray]:
         """All words with one space after each, as bytes, and the place of each word (one more at the end)."""

@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 
 
 class Encoder(dict):

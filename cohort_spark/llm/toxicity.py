@@ -33,6 +33,7 @@ LEAST_RATIO = 6.0
 STEPS = 9
 CUTOFF = 0.7
 CACHED_WORDS = 200_000
+SLICE_ROWS = 500
 _MARKS = b".,!?;:*$%&#\"'()"
 
 
@@ -224,9 +225,10 @@ def with_scores(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            scores = model.scores(texts) if model else np.zeros(len(texts))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*names, "score"])
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                scores = model.scores(part.column("text").to_pylist()) if model else np.zeros(part.num_rows)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores)], names=[*names, "score"])
 
     return docs.mapInArrow(score, schema)
 
