@@ -3,8 +3,9 @@
 Two zstandard dictionaries are trained on labelled text.  Both start with the common words of ordinary text, and go on with
 the segments (words) that occur in more distinct surroundings in one class than in the other: those of toxic text in one,
 those of ordinary text in the other.  Counting distinct surroundings keeps copies of one text from deciding.
-Windows of one word and of three words are compressed with both; where the toxic dictionary saves bytes, the window
-is closer to toxic text.  The score is a logistic function of how many windows of a text save how many bytes, calibrated on
+Windows of one word and of three words, one from each word on, are compressed with both; where the toxic dictionary saves
+bytes, the window is closer to toxic text.  zstandard finds no match in the last bytes of its input, and a single short
+match doesn't pay for its block header: so every window stands between a head and a tail that end both dictionaries.  The score is a logistic function of how many windows of a text save how many bytes, calibrated on
 labelled texts that the dictionaries were not trained on.
 """
 
@@ -33,6 +34,12 @@ LEAST_RATIO = 6.0
 STEPS = 9
 CUTOFF = 0.7
 CACHED_WORDS = 200_000
+CACHED_TRIPLES = 50_000
+#: zstandard's fast double hash enters every third place of a dictionary into its table of short matches.
+STRIDE = 3
+#: Around every window, and at the end of both dictionaries.
+HEAD = b"<|start of window|>"
+TAIL = b"<|this is the end of window|>"
 SLICE_ROWS = 500
 _MARKS = b".,!?;:*$%&#\"'()"
 
@@ -42,7 +49,17 @@ def _words(text: str | None) -> list[bytes]:
 
 
 def _triples(words: list[bytes]) -> list[bytes]:
-    return [b" " + b" ".join(words[i : i + 3]) + b" " for i in range(0, max(1, len(words)), 3)]
+    if len(words) < 3:
+        return [b" " + b"  ".join(words) + b" "]
+    return [b" %b  %b  %b " % t for t in zip(words, words[1:], words[2:])]
+
+
+def _joined(segments: list[bytes]) -> bytes:
+    """Segments with spaces around, each starting at a multiple of ``STRIDE``: only there zstandard indexes short matches.
+
+    What parts them occurs in no window, so a match ends with its word and the next one keeps its space.
+    """
+    return b"".join((b" " + w + b" ").ljust((len(w) + 2 + STRIDE) // STRIDE * STRIDE, b"\n") for w in segments)
 
 
 @dataclass
@@ -52,15 +69,16 @@ class Compressors:
     toxic: bytes
     ordinary: bytes
     cache: dict = field(default_factory=dict, repr=False)
+    triples: dict = field(default_factory=dict, repr=False)
     made: list = field(default_factory=list, repr=False)
 
     def __getstate__(self):
-        return {"toxic": self.toxic, "ordinary": self.ordinary, "cache": {}, "made": []}
+        return {"toxic": self.toxic, "ordinary": self.ordinary, "cache": {}, "triples": {}, "made": []}
 
     def _both(self) -> list:
         if not self.made:
             for content in (self.toxic, self.ordinary):
-                dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                dictionary = zstandard.ZstdCompressionDict(content + HEAD + TAIL, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 dictionary.precompute_compress(level=LEVEL)
                 self.made.append(
                     zstandard.ZstdCompressor(
@@ -72,21 +90,25 @@ class Compressors:
     def saved(self, window: bytes) -> int:
         """Bytes that the toxic dictionary saves."""
         toxic, ordinary = self._both()
+        window = HEAD + window + TAIL
         return len(ordinary(window)) - len(toxic(window))
 
-    def features(self, text: str | None) -> list[float]:
-        """What the windows of a whole text save: the number of windows, the largest savings, and how many save 1, 2 .. bytes."""
-        words, cache = _words(text), self.cache
-        single = []
-        for word in words:
-            value = cache.get(word)
+    def _savings(self, windows: list[bytes], cache: dict, most: int) -> list[int]:
+        out = []
+        for window in windows:
+            value = cache.get(window)
             if value is None:
-                if len(cache) >= CACHED_WORDS:
+                if len(cache) >= most:
                     cache.clear()
-                value = cache[word] = self.saved(b" " + word + b" ")
-            single.append(value)
-        toxic, ordinary = self._both()
-        triple = [len(ordinary(w)) - len(toxic(w)) for w in _triples(words)]
+                value = cache[window] = self.saved(window)
+            out.append(value)
+        return out
+
+    def features(self, text: str | None) -> list[float]:
+        """What the windows of a whole text save: the number of windows, the largest savings, and how many save 1, 2 .. bytes."""
+        words = _words(text)
+        single = self._savings([b" %b " % w for w in words], self.cache, CACHED_WORDS)
+        triple = self._savings(_triples(words), self.triples, CACHED_TRIPLES)
         out: list[float] = []
         for savings in (single or [0], triple):
             s = np.array(savings)
@@ -180,16 +202,16 @@ def dictionaries(counts: dict[bytes, tuple[int, int]], toxic_texts: int) -> Comp
     """The two dictionaries, equally long."""
     totals = [max(1, sum(c[k] for c in counts.values())) for k in (0, 1)]
     least = min(LEAST_COUNT[1], max(LEAST_COUNT[0], toxic_texts // 60))
-    common = sorted(counts, key=lambda w: (-counts[w][0], w))
-
     def segments(k: int) -> list[bytes]:
         ratio = {w: (c[k] + 0.5) / (c[1 - k] + 0.5) * totals[1 - k] / totals[k] for w, c in counts.items() if c[k] >= least}
         return sorted((w for w in ratio if ratio[w] >= LEAST_RATIO), key=lambda w: (-counts[w][k], w))[:SEGMENTS]
 
-    base = b" ".join(common[:COMMON][::-1])
-    toxic = b" ".join(segments(1)[::-1])
-    other = b" ".join(segments(0) + common[COMMON:])[: len(toxic)]
-    return Compressors(base + b" " + toxic + b" ", base + b" " + other.rjust(len(toxic)) + b" ")
+    bad = segments(1)
+    common = sorted(set(counts).difference(bad), key=lambda w: (-counts[w][0], w))  # in a small sample they would hold all words
+    base = _joined(common[:COMMON][::-1])
+    toxic = _joined(bad[::-1])
+    other = _joined(segments(0) + common[COMMON:])[: len(toxic)]
+    return Compressors(base + toxic, base + other.ljust(len(toxic), b"\n"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, sample: int = SAMPLE_TEXTS) -> Model | None:

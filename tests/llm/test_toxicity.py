@@ -76,6 +76,33 @@ def test_dictionaries_save_bytes_on_their_own_words():
     assert features[4] == sum(pair.saved(b" " + w.encode() + b" ") >= 1 for w in text.split())
 
 
+@pytest.mark.parametrize("length", range(3, 13))
+def test_short_words_are_seen_at_every_place_of_a_window(length):
+    rng = random.Random(length)
+    word = lambda n: bytes(rng.choice(b"abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    common = [word(rng.randint(2, 9)) for _ in range(500)]
+    bad = list({word(length) for _ in range(40)})
+    counts = {w: (200 - i // 4, 0) for i, w in enumerate(common)} | {w: (0, 50 - i) for i, w in enumerate(bad)}
+    pair = toxicity.dictionaries(counts, 600)
+    assert len(pair.toxic) == len(pair.ordinary)
+    assert pair.saved(b" " + bad[0] + b" ") > 0  # the most frequent one ends its dictionary
+    assert sum(pair.saved(b" " + w + b" ") > 0 for w in bad) >= 0.9 * len(bad)
+    for place in range(3):
+        windows = [[rng.choice(common) for _ in range(3)] for _ in bad]
+        for window, w in zip(windows, bad):
+            window[place] = w
+        seen = [pair.saved(toxicity._triples(window)[0]) > 0 for window in windows]
+        assert sum(seen) >= 0.85 * len(bad), place
+    assert sum(pair.saved(b" " + w + b" ") > 0 for w in common) <= 0.05 * len(common)
+
+
+def test_a_window_starts_at_every_word():
+    words = [b"%d" % i for i in range(14)]
+    windows = toxicity._triples(words)
+    assert [w.split() for w in windows] == [words[i : i + 3] for i in range(12)]
+    assert [[w.split() for w in toxicity._triples(words[:n])] for n in range(4)] == [[[]], [words[:1]], [words[:2]], [words[:3]]]
+
+
 def test_real_labels(given):
     got = classify(given("documents"), given("labels"))
     assert got.count() == given("documents").count()
