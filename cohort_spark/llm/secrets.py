@@ -24,8 +24,6 @@ KINDS = ["assign", "access", "hex", "random"]
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CANDIDATE = 20
 RATIO = 700
-#: The models are fitted on the labelled strings of about this many documents, chosen by a hash of their id.
-SAMPLE_DOCS = 5_000
 ORDINARY = r"[A-Za-z0-9+/_=-]{8,}"
 RANDOM_TOKEN = r"[A-Za-z0-9+/_=-]{%d,}" % CANDIDATE
 
@@ -61,11 +59,8 @@ def base_spans(text: Column) -> Column:
     return F.sort_array(F.concat(*kinds))
 
 
-def labelled_strings(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """(string, random) from about ``sample_docs`` documents: values of the fixed patterns, and other words of 8 characters and more."""
-    n = max(1, docs.count())
-    share = min(1.0, sample_docs / n)
-    sampled = docs.where(F.pmod(F.xxhash64(F.lit("secrets"), F.col("doc_id")), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
+def labelled_strings(docs: DataFrame) -> DataFrame:
+    """(string, random) of all documents: values of the fixed patterns, and other words of 8 characters and more."""
     text = F.coalesce(F.col("text"), F.lit(""))
     secret = F.concat(
         F.filter(F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(1)), lambda v: F.length(v) >= ASSIGN_LEAST),
@@ -75,7 +70,7 @@ def labelled_strings(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFra
     rest = text
     for pattern in (ASSIGN, ACCESS, HEX):
         rest = F.regexp_replace(rest, pattern, " ")
-    both = sampled.select(F.array_distinct(secret).alias("s"), F.regexp_extract_all(rest, F.lit(ORDINARY), F.lit(0)).alias("o"))
+    both = docs.select(F.array_distinct(secret).alias("s"), F.regexp_extract_all(rest, F.lit(ORDINARY), F.lit(0)).alias("o"))
     return both.select(F.explode("s").alias("string"), F.lit(True).alias("random")).unionByName(
         both.select(F.explode("o").alias("string"), F.lit(False).alias("random"))
     )
@@ -85,7 +80,7 @@ def train(strings: DataFrame) -> list[int]:
     """The table of log-likelihood ratios: entry ``128 * a + b`` is for character ``b`` after ``a``.
 
     Transitions are counted in Spark; at most one row per pair of characters and label reaches the driver.  Random
-    strings are half a uniform chain, so alphabets that the sample lacks count as random too; ordinary ones are smoothed.
+    strings are half a uniform chain, so alphabets that the strings lack count as random too; ordinary ones are smoothed.
     """
     pairs = strings.select("random", F.explode(F.transform(F.sequence(F.lit(1), F.length("string") - 1), lambda i: F.substring("string", i, 2))).alias("pair"))
     counts = {(r["pair"], r["random"]): r["n"] for r in pairs.groupBy("pair", "random").agg(F.count("*").alias("n")).collect()}

@@ -115,7 +115,7 @@ def _spans(kind: int, source: str, pattern: str, keep: str = "true", value: str
 
 _LETTERS = f"(select unnest(string_split('{ALPHABET}', '')) as c)"
 
-# The models are fitted on all labelled strings, as the operator does up to SAMPLE_DOCS documents.
+# The models are fitted on all labelled strings, as in the operator.
 SECRETS = f"""
 with texts as (select doc_id, coalesce(text, '') as t from documents),
 assigned as ({_spans(0, "texts", ASSIGN, value="1")}),

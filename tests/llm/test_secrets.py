@@ -6,6 +6,7 @@ import string
 import pytest
 
 from cohort_spark.llm import secrets
+from tests.conftest import spark  # noqa: F401
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 RUN = {"access": (re.compile(r"AKIA[A-Z0-9]+"), 20), "hex": (re.compile(r"[0-9a-f]+"), 24)}
@@ -94,6 +95,12 @@ def test_trained_models_tell_keys_from_words(docs, given):
     assert sum(got[i] for i in range(200, len(rows))) == 0
 
 
+def test_models_are_fitted_on_every_document(spark):  # noqa: F811
+    docs = spark.range(12_000).selectExpr("id as doc_id", "'identifier token=abcdefgh' as text")  # more than any sample held
+    got = {(r["string"], r["random"]): r["count"] for r in secrets.labelled_strings(docs).groupBy("string", "random").count().collect()}
+    assert got == {("identifier", False): 12_000, ("abcdefgh", True): 12_000}
+
+
 def test_without_samples_and_rows(docs):
     assert secrets.report(docs([])).count() == 0
     row = secrets.report(docs([(None, "x " + KEYS)])).first()
