@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohort_spark.llm import near_dup, packing, quality, secrets, sentencepiece_model, sharding, sql, substrings, token_files, top_k, toxicity
+from cohort_spark.llm import near_dup, ngram_join, packing, quality, secrets, sentencepiece_model, sharding, sql, substrings, token_files, top_k, toxicity
 from cohort_spark.llm.registry import ORACLES, QUERIES, query, table
 from cohort_spark.session import scratch_path
 
@@ -74,3 +74,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_token_files")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_table(table(spark, folder, "documents"), scratch_path(spark, "token-files"))
+
+
+@query("op13_ngram_join", sql.NGRAM_JOIN)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, folder, "documents"))

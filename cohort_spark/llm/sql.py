@@ -36,6 +36,21 @@ select s.doc_id, len(s.s)::bigint as n_shingles, least(s.doc_id, coalesce(l.y, s
   s.doc_id <= coalesce(l.y, s.doc_id) as kept
 from sets s left join least l on s.doc_id = l.x"""
 
+NGRAM_JOIN = f"""
+with recursive texts as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), {WORDS}) as words from documents),
+sets as (
+  select doc_id, case when len(words) = 0 then [] when len(words) < 4 then [array_to_string(words, ' ')]
+    else list_distinct([array_to_string(words[i:i + 3], ' ') for i in range(1, len(words) - 2)]) end as s from texts),
+items as (select doc_id, len(s) as n, unnest(s) as item from sets),
+links as (
+  select a.doc_id as x, b.doc_id as y from items a join items b on a.item = b.item and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach as (select x, y from links union select r.x, l.y from reach r join links l on r.y = l.x),
+least as (select x, min(y) as y from reach group by x)
+select s.doc_id, len(s.s)::bigint as n_shingles, least(s.doc_id, coalesce(l.y, s.doc_id)) as component_id
+from sets s left join least l on s.doc_id = l.x"""
+
 TOP_K = """
 with ints as (
   select vec_id, [floor(1024 * v::double)::bigint for v in embedding] as v from embeddings
