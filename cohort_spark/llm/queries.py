@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohort_spark.llm import near_dup, ngram_join, packing, quality, secrets, sentencepiece_model, sharding, sql, substrings, token_files, top_k, toxicity, whitening
+from cohort_spark.llm import lexical_search, near_dup, ngram_join, packing, quality, secrets, sentencepiece_model, sharding, sql, substrings, token_files, top_k, toxicity, whitening
 from cohort_spark.llm.registry import ORACLES, QUERIES, query, table
 from cohort_spark.session import scratch_path
 
@@ -76,6 +76,11 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_table(table(spark, folder, "documents"), scratch_path(spark, "token-files"))
 
 
+@query("op11_lexical_search", sql.LEXICAL_SEARCH)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query("op12_whitening")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings"))

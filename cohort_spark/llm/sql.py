@@ -51,6 +51,24 @@ least as (select x, min(y) as y from reach group by x)
 select s.doc_id, len(s.s)::bigint as n_shingles, least(s.doc_id, coalesce(l.y, s.doc_id)) as component_id
 from sets s left join least l on s.doc_id = l.x"""
 
+TERMS = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+
+LEXICAL_SEARCH = f"""
+with texts as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), {TERMS}) as w from documents),
+asked as (
+  select item_id, term, count(*) as times
+  from (select item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), {TERMS})) as term from benchmark) group by all),
+counts as (select doc_id, n, term, count(*) as tf from (select doc_id, len(w) as n, unnest(w) as term from texts) group by all),
+corpus as (select count(*)::bigint as documents, sum(len(w))::bigint as terms from texts where len(w) > 0),
+weights as (
+  select term, floor(1000 * ln((2 * documents + 2)::double / (2 * count(*) + 1)::double))::bigint as weight
+  from counts cross join corpus group by term, documents),
+scored as (
+  select item_id, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * documents) // terms)))))::bigint as score
+  from asked join counts using (term) join weights using (term) cross join corpus where doc_id is not null group by item_id, doc_id)
+select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+from scored where score > 0 qualify rank <= 10"""
+
 TOP_K = """
 with ints as (
   select vec_id, [floor(1024 * v::double)::bigint for v in embedding] as v from embeddings
