@@ -12,7 +12,7 @@ from cohort_spark.catalog.registry import query
 from cohort_spark.operators import quality
 from cohort_spark.operators.impute import forward_fill
 from cohort_spark.operators.reshape import melt
-from cohort_spark.plans.chunks import number_rows, time_chunk
+from cohort_spark.plans.chunks import Chunks, number_rows
 
 
 @query("sentinel_to_null", f"with {STATICS_SQL} select entity_id, nullif(balance, -1) as balance, nation from statics")
@@ -245,5 +245,5 @@ def _(t):
 )
 def _(t):
     rows = observations(t).select("entity_id", "ts", "event_id")
-    numbered = number_rows(rows, ["entity_id"], ["ts", "event_id"], "at", time_chunk("ts", 24))
+    numbered = number_rows(rows, ["entity_id"], ["ts", "event_id"], "at", Chunks(rows=500))
     return numbered.select("event_id", "at")

@@ -59,7 +59,7 @@ def _(t):
 
 @query("forward_fill_chunked", f"with {FILLED_SQL} select entity_id, ts, {WHOLE} from filled")
 def _(t):
-    return rounded(impute.forward_fill(hourly_panel(t), VARIABLES, ORDER, chunk_hours=48), VARIABLES)
+    return rounded(impute.forward_fill(hourly_panel(t), VARIABLES, ORDER, chunk_rows=200), VARIABLES)
 
 
 EVENT_FILL_SQL = FFILL_SQL.replace("order by ts", "order by ts, event_id")
@@ -75,7 +75,7 @@ def _(t):
     wide = observations(t).select(
         "event_id", "entity_id", "ts", *[F.when(F.col("variable") == v, F.col("value")).alias(v) for v in VARIABLES]
     )
-    return impute.forward_fill(wide, VARIABLES, ["ts", "event_id"], chunk_hours=24)
+    return impute.forward_fill(wide, VARIABLES, ["ts", "event_id"], chunk_rows=500)
 
 
 def _known_sql(c: str) -> str:
@@ -106,7 +106,7 @@ def _(t):
 
 @query("interpolate_time_chunked", INTERPOLATED_SQL)
 def _(t):
-    return rounded(impute.interpolate_time(hourly_panel(t), VARIABLES, chunk_hours=48), VARIABLES)
+    return rounded(impute.interpolate_time(hourly_panel(t), VARIABLES, chunk_rows=200), VARIABLES)
 
 
 GLOBAL_COLS = VARIABLES
@@ -130,7 +130,7 @@ def _global_sql(c: str) -> str:
 )
 def _(t):
     panel = hourly_panel(t).select("entity_id", "ts", *GLOBAL_COLS)
-    return rounded(impute.interpolate_time(panel, GLOBAL_COLS, scope="global", chunk_hours=48), GLOBAL_COLS)
+    return rounded(impute.interpolate_time(panel, GLOBAL_COLS, scope="global", chunk_rows=200), GLOBAL_COLS)
 
 
 FIN_SQL = "case when {c} = 'inf'::double or {c} = '-inf'::double then null else {c} end"
@@ -278,20 +278,20 @@ LAGGED_SQL = f"""with {FILLED_SQL} select entity_id, ts,
 from filled window w as (partition by entity_id order by ts)"""
 
 
-def lagged_panel(t, chunk_hours):
+def lagged_panel(t, **cut):
     filled = impute.forward_fill(hourly_panel(t).select("entity_id", "ts", *SCALED), SCALED, ORDER, chunk_hours=None)
-    lagged = aggregate.lag_features(filled, SCALED, ORDER, chunk_hours=chunk_hours)
+    lagged = aggregate.lag_features(filled, SCALED, ORDER, **cut)
     return rounded(lagged.drop(*SCALED), LAG_COLS)
 
 
 @query("lag_features", LAGGED_SQL)
 def _(t):
-    return lagged_panel(t, None)
+    return lagged_panel(t, chunk_hours=None)
 
 
 @query("lag_features_chunked", LAGGED_SQL)
 def _(t):
-    return lagged_panel(t, 48)
+    return lagged_panel(t, chunk_rows=200)
 
 
 ACF_SQL = f"""{OBS_SQL}, pairs as (
@@ -306,7 +306,7 @@ def event_acf(t):
     wide = observations(t).select(
         "event_id", "entity_id", "ts", *[F.when(F.col("variable") == v, F.col("value")).alias(v) for v in VARIABLES]
     )
-    return aggregate.autocorrelations(wide, VARIABLES, ["ts", "event_id"], chunk_hours=240)
+    return aggregate.autocorrelations(wide, VARIABLES, ["ts", "event_id"], chunk_rows=500)
 
 
 @query("avg_autocorrelation", f"with {ACF_SQL} select variable, {round_sql('acf')} as acf, entities from acf")

@@ -63,7 +63,7 @@ def _(t):
     from n group by 1, 2""",
 )
 def _(t):
-    built = sequences.build_sequences(hourly_panel(t), SEQ, pad_to=24, chunk_hours=48)
+    built = sequences.build_sequences(hourly_panel(t), SEQ, pad_to=24, chunk_rows=200)
     return rounded(sequences.sequence_sums(built, 2), ["sum0", "sum1"], 3)
 
 
@@ -98,7 +98,7 @@ def reading_panel(t):
     f"""with {TREND_SQL} select entity_id, variable, n, low, high, {round_sql("mean")} as mean, last, trend from trends""",
 )
 def _(t):
-    return rounded(summaries.trend_labels(minute_panel(t), VARIABLES, chunk_hours=240), ["mean"])
+    return rounded(summaries.trend_labels(minute_panel(t), VARIABLES, chunk_rows=500), ["mean"])
 
 
 TWO = "({x}::decimal(28, 2))::varchar"

@@ -8,10 +8,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohort_spark.operators.impute import MONTH_HOURS
 from cohort_spark.operators.quality import entities_in
 from cohort_spark.operators.reshape import melt
-from cohort_spark.plans.chunks import lagged, place_of, time_chunk
+from cohort_spark.plans.chunks import CHUNK_HOURS, CHUNK_ROWS, chunks, lagged, place_of
 
 # How each measurement is summed up per stay.
 MEASUREMENT_AGGREGATES = {
@@ -59,12 +58,12 @@ def lag_features(
     order: Sequence[str],
     lags: Sequence[int] = (1, 2),
     entity: str = "entity_id",
-    chunk_hours: float | None = MONTH_HOURS,
+    chunk_hours: float | None = CHUNK_HOURS,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """``{c}_lag{k}``: the cell ``k`` rows earlier in the history of the entity, null before its start."""
-    chunk = None if chunk_hours is None else time_chunk(order[0], chunk_hours)
     cols = [c for c in cols if c in df.columns]
-    return lagged(df, [entity], order, cols, list(lags), chunk)
+    return lagged(df, [entity], order, cols, list(lags), chunks(chunk_hours, chunk_rows))
 
 
 def autocorrelations(
@@ -73,17 +72,16 @@ def autocorrelations(
     order: Sequence[str],
     lag: int = 1,
     entity: str = "entity_id",
-    chunk_hours: float | None = MONTH_HOURS,
+    chunk_hours: float | None = CHUNK_HOURS,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Per variable the mean over entities of the correlation of a series with itself ``lag`` readings earlier.
 
     All columns go through one long pass.  Entities whose correlation is undefined are left out.
     """
-    chunk = None if chunk_hours is None else time_chunk(order[0], chunk_hours)
     long = melt(df, [entity, *order], cols).where(F.col("value").isNotNull())
-    pairs = lagged(long, [entity, "variable"], order, ["value"], [lag], chunk).withColumnRenamed(
-        f"value_lag{lag}", "__then"
-    )
+    pairs = lagged(long, [entity, "variable"], order, ["value"], [lag], chunks(chunk_hours, chunk_rows))
+    pairs = pairs.withColumnRenamed(f"value_lag{lag}", "__then")
     pairs = pairs.where(F.col("__then").isNotNull())
     spread = F.stddev_pop("value") * F.stddev_pop("__then")
     per_entity = (

@@ -10,12 +10,9 @@ from pyspark.sql import functions as F
 from cohort_spark.functions.time import seconds_between
 from cohort_spark.operators.quality import replace_columns
 from cohort_spark.operators.reshape import melt
-from cohort_spark.plans.chunks import attach, nearest_known, place_of, time_chunk, with_parameters
+from cohort_spark.plans.chunks import CHUNK_HOURS, CHUNK_ROWS, Chunks, attach, chunks, nearest_known, place_of, with_parameters
 from cohort_spark.plans.runs import exact_quantiles
 
-MONTH_HOURS = 24 * 30
-
-
 def static_view(df: DataFrame, cols: Sequence[str], order: Sequence[str], entity: str = "entity_id") -> DataFrame:
     """First non-null value per entity and column."""
 
@@ -37,23 +34,20 @@ def any_flag_to_static(
     return replace_columns(attach(df, flags, [entity]), {col: new}).drop("__flag")
 
 
-def _chunk(ts: str, hours: float | None) -> Column | None:
-    return None if hours is None else time_chunk(ts, hours)
-
-
 def forward_fill(
     df: DataFrame,
     cols: Sequence[str],
     order: Sequence[str],
     entity: str = "entity_id",
-    chunk_hours: float | None = MONTH_HOURS,
+    chunk_hours: float | None = CHUNK_HOURS,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """The last reading up to each row, per entity.  ``order`` starts with the time column.
 
-    Histories are cut into time chunks (see ``plans.chunks``); give ``chunk_hours=None`` for panels whose
-    rows per entity are bounded.
+    Histories are counted per slice of ``chunk_hours`` and cut into chunks of about ``chunk_rows`` rows (see
+    ``plans.chunks``); give ``chunk_hours=None`` for panels whose rows per entity are bounded.
     """
-    known = nearest_known(df, [entity], order, cols, _chunk(order[0], chunk_hours))
+    known = nearest_known(df, [entity], order, cols, chunks(chunk_hours, chunk_rows))
     filled = replace_columns(known, {c: F.col(f"{c}__prev")["v"] for c in cols})
     return filled.select(*df.columns)
 
@@ -70,7 +64,8 @@ def interpolate_time(
     ts: str = "ts",
     entity: str = "entity_id",
     scope: str = "entity",
-    chunk_hours: float | None = MONTH_HOURS,
+    chunk_hours: float | None = CHUNK_HOURS,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Fill nulls linearly in time, and with the nearest reading before the first and after the last.
 
@@ -80,10 +75,10 @@ def interpolate_time(
     the last and ends at the first.
     """
     if scope == "global":
-        return _interpolate_globally(df, cols, ts, entity, chunk_hours)
+        return _interpolate_globally(df, cols, ts, entity, chunks(chunk_hours, chunk_rows))
     if scope != "entity":
         raise ValueError(f"unknown scope {scope!r}")
-    known = nearest_known(df, [entity], [ts], cols, _chunk(ts, chunk_hours), ahead=True)
+    known = nearest_known(df, [entity], [ts], cols, chunks(chunk_hours, chunk_rows), ahead=True)
 
     def filled(c: str) -> Column:
         prev, nxt = F.col(f"{c}__prev"), F.col(f"{c}__next")
@@ -94,7 +89,7 @@ def interpolate_time(
 
 
 def _interpolate_globally(
-    df: DataFrame, cols: Sequence[str], ts: str, entity: str, chunk_hours: float | None
+    df: DataFrame, cols: Sequence[str], ts: str, entity: str, cut: Chunks | None
 ) -> DataFrame:
     """One knot row per time stamp (pre-aggregated), neighbours among the knots, joined back on the time stamp."""
 
@@ -106,7 +101,7 @@ def _interpolate_globally(
     )
     knots = knots.select(ts, *[F.when(F.col(c)["lo"].isNotNull(), F.col(c)).alias(c) for c in cols])
     axis = knots.withColumn("__axis", F.lit(0))
-    known = nearest_known(axis, ["__axis"], [ts], cols, _chunk(ts, chunk_hours), ahead=True)
+    known = nearest_known(axis, ["__axis"], [ts], cols, cut, ahead=True)
 
     def fill(c: str) -> Column:
         prev, nxt = F.col(f"{c}__prev"), F.col(f"{c}__next")

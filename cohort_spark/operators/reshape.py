@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohort_spark.functions.numeric import bin_centre
 from cohort_spark.functions.time import ceil_to_hour, seconds_between
-from cohort_spark.plans.chunks import lagged, time_chunk
+from cohort_spark.plans.chunks import CHUNK_HOURS, CHUNK_ROWS, chunks, lagged
 
 
 def discover_variables(df: DataFrame, variable: str = "variable") -> list[str]:
@@ -93,7 +93,8 @@ def fill_missing_hours(
     horizon_hours: int = 48,
     entity: str = "entity_id",
     ts: str = "ts",
-    chunk_hours: float | None = 24 * 30,
+    chunk_hours: float | None = CHUNK_HOURS,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Insert null rows so that no entity has a gap of two hours or more before its horizon.
 
@@ -101,11 +102,10 @@ def fill_missing_hours(
     before the second.  After a last row at least one hour before ``first + horizon``, hourly rows up to there.
     """
     values = [c for c in df.columns if c not in (entity, ts)]
-    chunk = None if chunk_hours is None else time_chunk(ts, chunk_hours)
     hour, empty = F.expr("interval 1 hour"), {c: F.lit(None).cast(t) for c, t in df.dtypes if c in values}
     times = df.select(entity, F.col(ts).cast("timestamp_ntz").alias(ts))
     gaps = (
-        lagged(times, [entity], [ts], [ts], [1], chunk, suffix="__before")
+        lagged(times, [entity], [ts], [ts], [1], chunks(chunk_hours, chunk_rows), suffix="__before")
         .withColumn("__from", F.col(f"{ts}__before1"))
         .where(seconds_between(F.col("__from"), F.col(ts)) >= 7200)
         .select(entity, (F.col("__from") + hour).alias("__from"), (F.col(ts) - hour).alias("__to"))

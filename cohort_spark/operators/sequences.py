@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohort_spark.functions.time import normalize_time
-from cohort_spark.operators.impute import MONTH_HOURS
 from cohort_spark.operators.reshape import feature_index, index_features, melt
 from cohort_spark.operators.scale import minmax_scale
-from cohort_spark.plans.chunks import attach, number_rows, time_chunk
+from cohort_spark.plans.chunks import CHUNK_HOURS, CHUNK_ROWS, attach, chunks, number_rows
 
 #: Steps of a row where none are asked for; a longer history goes on in further rows.
 MOST_STEPS = 100_000
@@ -50,7 +49,8 @@ def build_sequences(
     pad_to: int | None = None,
     entity: str = "entity_id",
     ts: str = "ts",
-    chunk_hours: float | None = MONTH_HOURS,
+    chunk_hours: float | None = CHUNK_HOURS,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """The steps of each entity in time order as a float matrix, padded with zero rows at the end.
 
@@ -61,11 +61,10 @@ def build_sequences(
     """
     zero = F.array(*[F.lit(0.0).cast("float") for _ in features])
     step = F.array(*[F.coalesce(F.col(c).cast("float"), F.lit(0.0).cast("float")) for c in features])
-    chunk = None if chunk_hours is None else time_chunk(ts, chunk_hours)
     if pad_to is None:
         longest = df.groupBy(entity).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
         pad_to = min(longest or 1, MOST_STEPS)
-    numbered = number_rows(df.select(entity, ts, step.alias("step")), [entity], [ts], "__at", chunk)
+    numbered = number_rows(df.select(entity, ts, step.alias("step")), [entity], [ts], "__at", chunks(chunk_hours, chunk_rows))
     segment = F.floor((F.col("__at") - 1) / pad_to).alias("segment")
     rows = numbered.select(entity, ts, segment, "step")
     groups = rows.groupBy(entity, "segment").agg(F.array_sort(F.collect_list(F.struct(ts, "step"))).alias("steps"))

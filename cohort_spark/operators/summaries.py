@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohort_spark.functions.numeric import two_decimals
-from cohort_spark.operators.impute import MONTH_HOURS
 from cohort_spark.operators.reshape import melt
-from cohort_spark.plans.chunks import attach, number_rows, time_chunk
+from cohort_spark.plans.chunks import CHUNK_HOURS, CHUNK_ROWS, attach, chunks, number_rows
 
 # The variables a summary mentions, its wording and the trend marks.
 SUMMARY_VARIABLES = ["HCO3", "HCT", "HR", "Mg", "Na", "Temp", "BUN", "FiO2", "GCS", "K"]
@@ -38,15 +37,19 @@ def trend_mark(n: Column, first: Column, second: Column, third: Column) -> Colum
 
 
 def trend_labels(
-    df: DataFrame, cols: Sequence[str], entity: str = "entity_id", ts: str = "ts", chunk_hours: float | None = MONTH_HOURS
+    df: DataFrame,
+    cols: Sequence[str],
+    entity: str = "entity_id",
+    ts: str = "ts",
+    chunk_hours: float | None = CHUNK_HOURS,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Per entity and variable: readings, range, mean, last value and the trend over thirds of the readings.
 
     Thirds are cut by position among the non-null readings, at n div 3 and 2n div 3.
     """
-    chunk = None if chunk_hours is None else time_chunk(ts, chunk_hours)
     long = melt(df, [entity, ts], cols).where(F.col("value").isNotNull())
-    placed = number_rows(long, [entity, "variable"], [ts], "__at", chunk, total="n")
+    placed = number_rows(long, [entity, "variable"], [ts], "__at", chunks(chunk_hours, chunk_rows), total="n")
     stats = long.groupBy(entity, "variable").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("value").alias("low"),
@@ -97,7 +100,8 @@ def entity_summaries(
     entity: str = "entity_id",
     ts: str = "ts",
     true_mean: bool = False,
-    chunk_hours: float | None = MONTH_HOURS,
+    chunk_hours: float | None = CHUNK_HOURS,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Both texts of every entity: ``summary_statistical`` and ``summary_trend``.
 
@@ -106,7 +110,7 @@ def entity_summaries(
     """
     cols = [c for c in cols if c in df.columns]
     heads = df.groupBy(entity).agg(F.min_by(F.struct(age, gender, weight), ts).alias("h"))
-    stats = trend_labels(df, cols, entity, ts, chunk_hours)
+    stats = trend_labels(df, cols, entity, ts, chunk_hours, chunk_rows)
     number = [two_decimals(F.col(c)) for c in ("low", "high")]
     average, last = two_decimals(F.col("mean" if true_mean else "last")), two_decimals(F.col("last"))
     place = F.array_position(F.array(*[F.lit(c) for c in cols]), F.col("variable"))
@@ -124,7 +128,7 @@ def entity_summaries(
     joined = attach(heads, texts, [entity])
     missing = F.lit(MISSING)  # a header states what isn't known
     years = F.coalesce(F.col(f"h.{age}").cast("int").cast("string"), missing)
-    sex = F.when(F.col(f"h.{gender}") == 1, "male").otherwise("female")
+    sex = F.when(F.col(f"h.{gender}") == 1, "male").when(F.col(f"h.{gender}").isNotNull(), "female").otherwise(missing)
     plain = _sentence(HEADER_STATISTICAL, [years, sex])
     trend = _sentence(HEADER_TREND, [years, sex, F.coalesce(_plain_number(F.col(f"h.{weight}")), missing)])
 

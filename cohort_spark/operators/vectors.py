@@ -11,10 +11,9 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohort_spark.operators.impute import MONTH_HOURS
 from cohort_spark.operators.relate import attach_labels
 from cohort_spark.operators.reshape import melt
-from cohort_spark.plans.chunks import number_rows, time_chunk
+from cohort_spark.plans.chunks import CHUNK_HOURS, CHUNK_ROWS, chunks, number_rows
 
 
 def _columns(df: DataFrame, keys: Sequence[str]) -> str:
@@ -46,16 +45,16 @@ def embed_series(
     context: int = 8192,
     entity: str = "entity_id",
     ts: str = "ts",
-    chunk_hours: float | None = MONTH_HOURS,
+    chunk_hours: float | None = CHUNK_HOURS,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Token vectors of the non-null series of every entity and variable.
 
     A series longer than the ``context`` of the encoder is embedded in consecutive pieces, numbered by
     ``piece``; nothing is cut off, and no row holds more than ``context`` readings.
     """
-    chunk = None if chunk_hours is None else time_chunk(ts, chunk_hours)
     long = melt(df, [entity, ts], cols).where(F.col("value").isNotNull())
-    numbered = number_rows(long, [entity, "variable"], [ts], "__at", chunk)
+    numbered = number_rows(long, [entity, "variable"], [ts], "__at", chunks(chunk_hours, chunk_rows))
     piece = F.floor((F.col("__at") - 1) / context).alias("piece")
     series = numbered.groupBy(entity, "variable", piece).agg(
         F.array_sort(F.collect_list(F.struct("__at", "value"))).alias("steps")

@@ -8,6 +8,9 @@ third of the data, so the operators here cut every history into chunks along its
 3. a window over the summary rows of a group, one per chunk, gives what earlier or later chunks hand over;
 4. the summary is joined back on (group, chunk), the distribution the row windows use as well.
 
+Chunks are bounded by rows (``with_chunks``): rows are counted per (group, time slice), and a running total opens a
+chunk every ``rows`` rows.  A slice that holds more than that by itself is cut further along the order.
+
 ``chunk=None`` uses the plain window.  That is right where the rows per entity are bounded already, as on
 an hourly panel, whose histories can't be longer than the hours the data spans.
 """
@@ -15,6 +18,7 @@ an hourly panel, whose histories can't be longer than the hours the data spans.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -32,6 +36,64 @@ def time_chunk(ts: str | Column, hours: float) -> Column:
     return F.floor(seconds_between(as_ntz(EPOCH), col.cast("timestamp_ntz")) / F.lit(hours * 3600.0))
 
 
+CHUNK_ROWS = 1 << 20
+CHUNK_HOURS = 1.0
+SLOTS = 4096
+
+
+@dataclass(frozen=True)
+class Chunks:
+    """How long histories are cut: counted per slice of ``hours``, with a new chunk every ``rows`` rows."""
+
+    hours: float = CHUNK_HOURS
+    rows: int = CHUNK_ROWS
+
+
+def chunks(hours: float | None, rows: int) -> Chunks | None:
+    """The chunks of an operator's arguments; none where ``hours`` is None."""
+    return None if hours is None else Chunks(hours, rows)
+
+
+def with_chunks(df: DataFrame, by: Sequence[str], order: Sequence[str], cut: Chunks) -> DataFrame:
+    """Add ``CHUNK``, which never decreases along ``order`` within a group and holds fewer than ``2 * cut.rows`` rows.
+
+    A row's chunk is the number of rows of its group in earlier cells, divided by ``cut.rows``.  Cells are slices of
+    ``cut.hours``; a slice with more rows is cut into ``SLOTS`` even parts of the time that its rows span, or, if they share
+    one time stamp, of the span of the second order column.  (Rows beyond ``cut.rows`` within one such part share a chunk.)
+    Groups of up to ``cut.rows`` rows are one chunk, and only cells of larger ones meet the rows again.
+    """
+    by = list(by)
+    cell, slot = "__cell", "__slot"
+    names = df.columns
+    rows = df.withColumn(cell, time_chunk(order[0], cut.hours))
+    micros = F.timestamp_diff("MICROSECOND", as_ntz(EPOCH), F.col(order[0]).cast("timestamp_ntz"))
+    ends = {"t": micros}
+    if len(order) > 1 and (dict(df.dtypes)[order[1]] in ("tinyint", "smallint", "int", "bigint")):
+        ends["o"] = F.col(order[1]).cast("bigint")
+    spans = [edge(at).alias(f"__{name}_{end}") for name, at in ends.items() for end, edge in (("low", F.min), ("high", F.max))]
+    group = W.partitionBy(*by)
+    counts = rows.groupBy(*by, cell).agg(F.count(F.lit(1)).alias("__n"), *spans)
+    before = F.coalesce(F.sum("__n").over(group.orderBy(cell).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.withColumns({"__before": before, "__total": F.sum("__n").over(group)})
+    hot = counts.where(F.col("__total") > cut.rows).drop("__total")
+    crowded = F.col("__n") > cut.rows
+    span = ["__before", *[f"__{name}_{end}" for name in ends for end in ("low", "high")]]
+    rows = attach(rows, hot.select(*by, cell, *[F.when(crowded | (F.lit(c) == "__before"), F.col(c)).alias(c) for c in span]), [*by, cell])
+
+    def part(name: str) -> Column:
+        low, width = F.col(f"__{name}_low"), F.col(f"__{name}_high") - F.col(f"__{name}_low")
+        return F.floor((ends[name] - low).cast("double") / (width + 1) * SLOTS)
+
+    in_time = part("t")
+    rows = rows.withColumn(slot, F.when(F.col("__t_high") > F.col("__t_low"), in_time).otherwise(part("o")) if "o" in ends else in_time)
+    inside = rows.where(F.col("__t_low").isNotNull()).groupBy(*by, cell, slot).agg(F.count(F.lit(1)).alias("__n"))
+    earlier = W.partitionBy(*by, cell).orderBy(slot).rowsBetween(W.unboundedPreceding, -1)
+    inside = inside.select(*by, cell, slot, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__more"))
+    rows = attach(rows, inside, [*by, cell, slot])
+    place = F.coalesce(F.col("__before"), F.lit(0)) + F.coalesce(F.col("__more"), F.lit(0))
+    return rows.select(*names, F.floor(place / cut.rows).alias(CHUNK))
+
+
 def attach(
     rows: DataFrame, summary: DataFrame, keys: Sequence[str], how: str = "left", null_safe: bool = False
 ) -> DataFrame:
@@ -77,20 +139,17 @@ def number_rows(
     by: Sequence[str],
     order: Sequence[str],
     name: str,
-    chunk: Column | None = None,
+    chunk: Chunks | None = None,
     total: str | None = None,
 ) -> DataFrame:
-    """1-based position of each row in its group, and with ``total`` the rows of the group.
-
-    ``chunk`` must not decrease along ``order``.
-    """
+    """1-based position of each row in its group, and with ``total`` the rows of the group."""
     by = list(by)
     whole = W.partitionBy(*by)
     if chunk is None:
         counted = {} if total is None else {total: F.count(F.lit(1)).over(whole)}
         place = F.row_number().over(whole.orderBy(*order)).cast("bigint")
         return df.withColumns({name: place, **counted})
-    rows = df.withColumn(CHUNK, chunk)
+    rows = with_chunks(df, by, order, chunk)
     sizes = rows.groupBy(*by, CHUNK).agg(F.count(F.lit(1)).alias("__n"))
     earlier = whole.orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(
@@ -126,7 +185,7 @@ def nearest_known(
     by: Sequence[str],
     order: Sequence[str],
     cols: Sequence[str],
-    chunk: Column | None,
+    chunk: Chunks | None,
     ahead: bool = False,
 ) -> DataFrame:
     """Add ``{c}__prev`` (and ``{c}__next`` if ``ahead``): the nearest reading up to (from) each row.
@@ -136,7 +195,7 @@ def nearest_known(
     """
     by, order = list(by), list(order)
     sides = [("prev", F.asc)] + ([("next", F.desc)] if ahead else [])
-    rows = df if chunk is None else df.withColumn(CHUNK, chunk)
+    rows = df if chunk is None else with_chunks(df, by, order, chunk)
     groups = by if chunk is None else [*by, CHUNK]
 
     def over(direction) -> W:
@@ -183,7 +242,7 @@ def lagged(
     order: Sequence[str],
     cols: Sequence[str],
     lags: Sequence[int],
-    chunk: Column | None,
+    chunk: Chunks | None,
     suffix: str = "_lag",
 ) -> DataFrame:
     """Add ``{c}{suffix}{k}``: the value ``k`` rows earlier in the group.
@@ -202,7 +261,7 @@ def lagged(
     inside = W.partitionBy(*by, CHUNK).orderBy(*order)
     whole = W.partitionBy(*by, CHUNK)
     rows = (
-        df.withColumn(CHUNK, chunk)
+        with_chunks(df, by, order, chunk)
         .withColumn("__at", F.row_number().over(inside))
         .withColumn("__left", F.count(F.lit(1)).over(whole) - F.col("__at"))
     )

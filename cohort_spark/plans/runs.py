@@ -1,47 +1,47 @@
 """Running totals along a value, the base of exact ranks, quantiles and ranking metrics.
 
 Rows are first counted per (group, distinct value), which collapses hot values before they travel.  The
-distinct values are then cut at approximate quantiles of the whole column.  The cuts only balance the
-work: each (group, chunk) holds about ``1/chunks`` of all rows at most, however large one group is, and
-the totals stay exact whatever the cuts are.
+distinct values are then cut into chunks of about ``CHUNK_VALUES`` counted rows at approximate quantiles of the whole column,
+which a mergeable sketch over the counted rows gives.  The sketch is a scalar subquery of the same plan: no job runs
+before the result is asked for, and the counted rows are made once for the sketch and for the totals.
+The cuts only balance the work: each (group, chunk) is a share of all rows, however large one group is, and the totals stay
+exact whatever the cuts are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohort_spark.plans.chunks import CHUNK, attach
+from cohort_spark.plans.chunks import CHUNK, attach, with_parameters
 
-MOST_CHUNKS = 10_000
+GRID = 4096  # a power of two: the finest share of all values that a chunk can be
+ACCURACY = 2 * GRID
+CHUNK_VALUES = 1 << 18
 
 
-def chunk_count(df: DataFrame) -> int:
-    """As many chunks as the session uses shuffle partitions, within a fixed bound."""
-    return min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_CHUNKS)
+def with_value_chunks(counted: DataFrame, value: str, weights: Sequence[str], size: int = CHUNK_VALUES) -> DataFrame:
+    """Add ``CHUNK``: the share of the values that a row's value falls into, growing with the value.
 
+    There are as many shares as ``size`` goes into the number of rows, and ``GRID`` at most.
+    """
+    x = F.col(value).cast("double")
+    shares = F.percentile_approx(x, [i / GRID for i in range(1, GRID)], ACCURACY)
+    # the weights are named so that the sketch and the totals read the same counted rows
+    fit = counted.agg(F.count(F.lit(1)).alias("rows"), shares.alias("cuts"), *[F.max(w).alias(f"most_{w}") for w in weights])
+    fit = fit.select(F.least(F.ceil(F.col("rows") / size), F.lit(GRID)).alias("chunks"), "cuts")
+    steps = F.array(*[F.lit(GRID >> k) for k in range(1, GRID.bit_length())])
 
-def value_cuts(df: DataFrame, value: str, chunks: int) -> list[float]:
-    """At most ``chunks - 1`` increasing cut points that split the rows about evenly."""
-    if chunks < 2:
-        return []
-    probabilities = [i / chunks for i in range(1, chunks)]
-    found = df.select(F.col(value).cast("double").alias("v")).approxQuantile("v", probabilities, 0.25 / chunks)
-    return sorted(set(found))
-
+    def passed(cuts: Column) -> Column:
+        """How many cuts are no larger than the value, by halving."""
+        return F.aggregate(steps, F.lit(0), lambda at, step: F.when(x >= F.element_at(cuts, at + step), at + step).otherwise(at))
 
-def with_value_chunk(df: DataFrame, value: str, cuts: Sequence[float]) -> DataFrame:
-    """Add the number of the slice between two cuts that holds the value."""
-    if not cuts:
-        return df.withColumn(CHUNK, F.lit(0.0))
-    edges = [float("-inf"), *cuts, float("inf")]
-    return Bucketizer(splits=edges, inputCol="__cut_by", outputCol=CHUNK).transform(
-        df.withColumn("__cut_by", F.col(value).cast("double"))
-    ).drop("__cut_by")
+    cut = F.col("__cuts")
+    chunk = F.when(cut["chunks"] > 1, F.floor(passed(cut["cuts"]) * cut["chunks"] / GRID)).otherwise(0)
+    return with_parameters(counted, fit, "__cuts").select(*counted.columns, chunk.alias(CHUNK))
 
 
 def value_runs(
@@ -49,7 +49,7 @@ def value_runs(
     value: str,
     weights: Mapping[str, Column],
     by: Sequence[str] = (),
-    chunks: int | None = None,
+    size: int = CHUNK_VALUES,
 ) -> DataFrame:
     """One row per (group, distinct non-null value) with totals.
 
@@ -60,9 +60,8 @@ def value_runs(
     known = df.where(F.col(value).isNotNull())
     if dict(df.dtypes)[value] in ("float", "double"):
         known = known.where(~F.isnan(value))  # NaN is no value
-    cuts = value_cuts(known, value, chunks or chunk_count(df))
     counted = known.groupBy(*by, value).agg(*[F.sum(col).alias(w) for w, col in weights.items()])
-    counted = with_value_chunk(counted, value, cuts)
+    counted = with_value_chunks(counted, value, names, size)
     totals = counted.groupBy(*by, CHUNK).agg(*[F.sum(w).alias(w) for w in names])
     group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
     earlier = group.orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
@@ -89,14 +88,14 @@ def exact_quantiles(
     value: str,
     probs: Mapping[str, float],
     by: Sequence[str] = (),
-    chunks: int | None = None,
+    size: int = CHUNK_VALUES,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per group and one column per entry of ``probs``.
 
     The built-in ``percentile`` keeps all distinct values of a group in the memory of one task; this
     does not, so it holds for whole columns.  Nulls are left out.
     """
-    runs = value_runs(df, value, {"__n": F.lit(1).cast("bigint")}, by, chunks)
+    runs = value_runs(df, value, {"__n": F.lit(1).cast("bigint")}, by, size)
     before, upto, n = F.col("__n_before"), F.col("__n_before") + F.col("__n"), F.col("__n_all")
 
     def value_at(rank: Column) -> Column:
