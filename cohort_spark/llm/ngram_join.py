@@ -2,8 +2,8 @@
 
 A document's set holds its distinct shingles as 64-bit hashes; documents with equal sets are one class.
 
-*Groups.*  Similar classes are partitioned into groups: classes that share several of ``KEYS`` minhash pairs with the first
-class of a bucket form families, and a family is cut into groups of about ``GROUP_TOKENS`` shingles and ``GROUP_MEMBERS`` classes.  Most classes are a group
+*Groups.*  Similar classes are partitioned into groups: classes that share ``LEAST_KEYS`` of ``KEYS`` minhashes (all of theirs, if
+they have fewer) with the first class of a bucket form families, and a family is cut into groups of about ``GROUP_TOKENS`` shingles and ``GROUP_MEMBERS`` classes.  Most classes are a group
 of their own.  Groups decide the amount of work, never the result.
 
 *Matrix.*  Shingles have one global order: first by how frequent they are (a fixed-size table of levels, built from counts
@@ -35,8 +35,8 @@ from cohort_spark.llm.text import grams, mix, powers, raw, slices, words_of
 
 SHINGLE = 4
 PERCENT = 85
-KEYS = 8
-LEAST_KEYS = 4
+KEYS = 16
+LEAST_KEYS = 5
 GROUP_TOKENS = 1 << 18
 GROUP_MEMBERS = 512
 EXTRA = 16
@@ -90,17 +90,14 @@ def set_id(shingles: np.ndarray) -> bytes:
 
 
 def bucket_keys(sets: list[np.ndarray]) -> list[list[int]]:
-    """Up to ``KEYS`` keys per (non-empty) set, each of two minima over sixteenths of the shingles."""
+    """A key per (non-empty) set for each part of the shingles that isn't empty: the minimum of a hash over the part."""
     size = np.array([len(s) for s in sets])
     values = np.concatenate(sets)
     none = np.uint64(2**64 - 1)
-    low = np.full(len(sets) * 2 * KEYS, none)
-    np.minimum.at(low, np.repeat(np.arange(len(sets)) * 2 * KEYS, size) + (values & np.uint64(2 * KEYS - 1)).astype(np.int64), mix(values))
-    low = low.reshape(len(sets), 2 * KEYS)
-    a, b = low[:, :KEYS], low[:, KEYS:]
-    keys = mix(a + b * np.uint64(3) + np.arange(KEYS, dtype=np.uint64)).view(np.int64)
-    filled = (a != none) | (b != none)
-    return [k[f].tolist() for k, f in zip(keys, filled)]
+    low = np.full(len(sets) * KEYS, none)
+    np.minimum.at(low, np.repeat(np.arange(len(sets)) * KEYS, size) + (values & np.uint64(KEYS - 1)).astype(np.int64), mix(values))
+    low = low.reshape(len(sets), KEYS)
+    return [k[k != none].view(np.int64).tolist() for k in low]
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -256,9 +253,9 @@ def matrix(docs: DataFrame, groups: DataFrame, table: np.ndarray, buckets: int)
 
 def in_groups(classes: DataFrame) -> DataFrame:
     """(set_id, ref, first_doc, n_shingles, gid) per class."""
-    keyed = classes.select("set_id", F.explode("keys").alias("key"))
+    keyed = classes.select("set_id", F.least(F.lit(LEAST_KEYS), F.size("keys")).alias("least"), F.explode("keys").alias("key"))
     heads = kept(keyed.groupBy("key").agg(F.min("set_id").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    near = keyed.join(heads, "key").groupBy("set_id", "head").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_KEYS)
+    near = keyed.join(heads, "key").groupBy("set_id", "head", "least").agg(F.count("*").alias("n")).where("n >= least")
     families = components(near.select(F.col("set_id").alias("u"), F.col("head").alias("v")))
     families = families.withColumnRenamed("node", "set_id").join(classes.select("set_id", "n_shingles"), "set_id")
     parts = F.greatest(F.ceil(F.sum("n_shingles") / GROUP_TOKENS), F.ceil(F.count("*") / GROUP_MEMBERS))
