@@ -67,16 +67,25 @@ def _(t):
 def _kde_sql(source: str, x: str, by: str, cut: float) -> str:
     group = f"group by {by}" if by else ""
     pick, using = (f"{by}, ", f"join fit using ({by})") if by else ("", ", fit")
+
+    def same(other: str) -> str:
+        return f"and {other}.{by} = p.{by}" if by else ""
+
     return f"""with counts as (select {pick}{x}::double as x, count(*) as w from {source} where {x} is not null group by all),
     moments as (select {pick}count(*) as n, stddev_samp({x}) as sd, min({x}) as lo, max({x}) as hi,
       (quantile_cont({x}, 0.75) - quantile_cont({x}, 0.25)) / 1.34 as iqr from {source} {group}),
     widths as (select *, 0.9::double * least(sd, iqr) * pow(n, -0.2) as bw from moments),
     fit as (select {pick}n, bw, lo - {cut} * bw as lo, hi + {cut} * bw as hi from widths),
-    grid as (select *, lo + (hi - lo) * point / 511 as position
-      from counts {using}, (select unnest(range(512))::int as point))
-    select {pick}point, {round_sql("max(position)")} as position,
-      {round_sql(f"sum(w * exp(-pow((position - x) / bw, 2) / 2) / (n * bw * {math.sqrt(2 * math.pi)!r}))", 9)} as density
-    from grid group by all"""
+    placed as (select {pick}w, (x - (lo - 4 * bw)) / ((hi - lo + 8 * bw) / 511) as place from counts {using}),
+    bins as (select {pick}bin, sum(w) as w from (
+      select {pick}floor(place)::int as bin, w * (1 - (place - floor(place))) as w from placed
+      union all select {pick}floor(place)::int + 1, w * (place - floor(place)) from placed) group by all),
+    heights as (select {pick}knot, sum(w * exp(-pow((knot - bin) * (hi - lo + 8 * bw) / 511 / bw, 2) / 2) / (n * bw * {math.sqrt(2 * math.pi)!r})) as y
+      from bins {using}, (select unnest(range(512))::int as knot) group by all),
+    points as (select {pick}point, lo + (hi - lo) * point / 511 as position,
+      ((hi - lo) * point / 511 + 4 * bw) / ((hi - lo + 8 * bw) / 511) as place from fit, (select unnest(range(512))::int as point))
+    select {pick.replace(by, f"p.{by}") if by else ""}point, {round_sql("position")} as position, {round_sql("a.y + (b.y - a.y) * (place - floor(place))", 9)} as density
+    from points p join heights a on a.knot = floor(place)::int {same("a")} join heights b on b.knot = floor(place)::int + 1 {same("b")}"""
 
 
 @query("kde", _kde_sql("part", "p_retailprice", "", 0.0))

@@ -52,8 +52,9 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
 def kde(df: DataFrame, col: str, by: Sequence[str] = (), points: int = 512, cut: float = 0.0) -> DataFrame:
     """Gaussian density on an even grid over the data range, widened by ``cut`` bandwidths at both ends.
 
-    Bandwidth by the rule of thumb 0.9 * min(sd, IQR / 1.34) * n^-0.2.  Equal values are counted first; each
-    distinct value then adds to a fixed number of grid points, summed on the map side.
+    Bandwidth by the rule of thumb 0.9 * min(sd, IQR / 1.34) * n^-0.2.  Equal values are counted first.  A distinct value
+    splits its weight over its two neighbours on a grid of ``points`` bins that reaches four bandwidths further, so what is
+    summed from then on is at most ``points`` bins per group; kernels are summed at the bins and read off in between.
     """
     by = list(by)
     known = df.where(F.col(col).isNotNull()).select(*by, F.col(col).cast("double").alias("x"))
@@ -69,13 +70,29 @@ def kde(df: DataFrame, col: str, by: Sequence[str] = (), points: int = 512, cut:
     fit = fit.select(
         *by, "n", "bw", (F.col("low") - cut * F.col("bw")).alias("low"), (F.col("high") + cut * F.col("bw")).alias("high")
     )
+    start = F.col("low") - 4 * F.col("bw")
+    step = (F.col("high") + 4 * F.col("bw") - start) / (points - 1)
     counts = known.groupBy(*by, "x").agg(F.count(F.lit(1)).alias("w"))
-    placed = _side_by_side(counts, fit, by, "x")
-    grid = placed.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-    at = F.col("low") + (F.col("high") - F.col("low")) * F.col("point") / (points - 1)
-    z = (at - F.col("x")) / F.col("bw")
+    place = (F.col("x") - start) / step
+    placed = _side_by_side(counts, fit, by, "x").withColumn("bin", F.floor(place)).withColumn("part", place - F.col("bin"))
+    fitted = [F.max(c).alias(c) for c in ("n", "bw", "low", "high")]
+    halves = F.array(
+        F.struct(F.col("bin").alias("at"), F.sum(F.col("w") * (1 - F.col("part"))).alias("w")),
+        F.struct((F.col("bin") + 1).alias("at"), F.sum(F.col("w") * F.col("part")).alias("w")),
+    )
+    bins = placed.groupBy(*by, "bin").agg(halves.alias("halves"), *fitted).withColumn("half", F.explode("halves"))
+    bins = bins.groupBy(*by, F.col("half.at").alias("bin")).agg(F.sum("half.w").alias("w"), *fitted)
+    grid = bins.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    z = (F.col("at") - F.col("bin")) * step / F.col("bw")
     part = F.col("w") * F.exp(-z * z / 2) / (F.col("n") * F.col("bw") * math.sqrt(2 * math.pi))
-    return grid.groupBy(*by, "point").agg(F.max(at).alias("position"), F.sum(part).alias("density"))
+    heights = grid.groupBy(*by, "at").agg(F.sum(part).alias("y"), *fitted)
+    curve = F.array_sort(F.collect_list(F.struct("at", "y")))["y"].alias("curve")  # one entry per point
+    curves = heights.groupBy(*by).agg(curve, *fitted).withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    position = F.col("low") + (F.col("high") - F.col("low")) * F.col("point") / (points - 1)
+    between = (position - start) / step
+    left = F.floor(between).cast("int")
+    y = [F.element_at("curve", left + i) for i in (1, 2)]
+    return curves.select(*by, "point", position.alias("position"), (y[0] + (y[1] - y[0]) * (between - left)).alias("density"))
 
 
 def _side_by_side(rows: DataFrame, one_per_group: DataFrame, by: Sequence[str], spread_by: str) -> DataFrame:
@@ -249,19 +266,34 @@ def _t_tail(t: float, df: float) -> float:
     return _beta_i(df / 2, 0.5, df / (df + t * t))
 
 
+def _chance(tail, statistic: float, df: float) -> float:
+    """``tail(statistic, df)``; NaN where either is missing or there are no degrees of freedom, 0 beyond all bounds."""
+    if math.isnan(statistic) or math.isnan(df) or df <= 0:
+        return math.nan
+    if math.isinf(statistic):
+        return 0.0 if statistic > 0 or tail is _t_tail else 1.0
+    if math.isinf(df):
+        return math.erfc(abs(statistic) / math.sqrt(2)) if tail is _t_tail else 1.0
+    return tail(statistic, df)
+
+
+def _chi_tail(statistic: float, df: float) -> float:
+    return _gamma_q(df / 2, statistic / 2)
+
+
 @F.pandas_udf(T.DoubleType())
 def chi_square_p(statistic: pd.Series, df: pd.Series) -> pd.Series:
-    """Chance of a larger statistic."""
-    return pd.Series([_gamma_q(d / 2, s / 2) for s, d in zip(statistic, df)])
+    """Chance of a larger statistic; NaN for a missing one and for no degrees of freedom."""
+    return pd.Series([_chance(_chi_tail, s, d) for s, d in zip(statistic.astype(float), df.astype(float))], dtype=float)
 
 
 @F.pandas_udf(T.DoubleType())
 def t_test_p(t: pd.Series, df: pd.Series) -> pd.Series:
-    """Two-sided chance of a t as far from zero."""
-    return pd.Series([_t_tail(s, d) for s, d in zip(t, df)])
+    """Two-sided chance of a t as far from zero; NaN for a missing one and for no degrees of freedom."""
+    return pd.Series([_chance(_t_tail, s, d) for s, d in zip(t.astype(float), df.astype(float))], dtype=float)
 
 
 @F.pandas_udf(T.DoubleType())
 def normal_p(z: pd.Series) -> pd.Series:
     """Two-sided chance of a standard normal as far from zero."""
-    return pd.Series([math.erfc(abs(s) / math.sqrt(2)) if s == s else float("nan") for s in z])
+    return pd.Series([math.erfc(abs(s) / math.sqrt(2)) for s in z.astype(float)], dtype=float)

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from cohort_spark.plans.chunks import CHUNK, attach, with_parameters
 
-GRID = 4096  # a power of two: the finest share of all values that a chunk can be
-ACCURACY = 2 * GRID
+GRID = 1024  # a power of two: the finest share of all values that a chunk can be
+ACCURACY = 4 * GRID
 CHUNK_VALUES = 1 << 18
 
 
@@ -29,7 +29,8 @@ def with_value_chunks(counted: DataFrame, value: str, weights: Sequence[str], si
     There are as many shares as ``size`` goes into the number of rows, and ``GRID`` at most.
     """
     x = F.col(value).cast("double")
-    shares = F.percentile_approx(x, [i / GRID for i in range(1, GRID)], ACCURACY)
+    # one literal instead of a column per share
+    shares = F.percentile_approx(x, F.split(F.lit(",".join(str(i / GRID) for i in range(1, GRID))), ",").cast("array<double>"), ACCURACY)
     # the weights are named so that the sketch and the totals read the same counted rows
     fit = counted.agg(F.count(F.lit(1)).alias("rows"), shares.alias("cuts"), *[F.max(w).alias(f"most_{w}") for w in weights])
     fit = fit.select(F.least(F.ceil(F.col("rows") / size), F.lit(GRID)).alias("chunks"), "cuts")

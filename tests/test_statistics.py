@@ -41,6 +41,63 @@ def test_density_integrates_to_one(frame):
     assert ((ys[1:] + ys[:-1]) / 2 * np.diff(xs)).sum() == pytest.approx(1, abs=1e-3)
 
 
+def binned_density(x, points=512, cut=0.0):
+    """The same estimate by a circular Fourier transform of the binned weights."""
+    x = np.asarray(x)
+    iqr = (np.quantile(x, 0.75) - np.quantile(x, 0.25)) / 1.34
+    bw = 0.9 * min(x.std(ddof=1), iqr) * len(x) ** -0.2
+    low, high = x.min() - cut * bw, x.max() + cut * bw
+    lo, up = low - 4 * bw, high + 4 * bw
+    place = (x - lo) / (up - lo) * (points - 1)
+    bins = np.zeros(2 * points)
+    np.add.at(bins, np.floor(place).astype(int), (1 - place % 1) / len(x))
+    np.add.at(bins, np.floor(place).astype(int) + 1, (place % 1) / len(x))
+    away = np.arange(2 * points) * (up - lo) / (points - 1)
+    away[points + 1 :] = -away[points - 1 : 0 : -1]
+    kernel = np.exp(-((away / bw) ** 2) / 2) / (bw * np.sqrt(2 * np.pi))
+    heights = np.maximum(0, np.fft.ifft(np.fft.fft(bins) * np.conj(np.fft.fft(kernel))).real[:points])
+    at = np.linspace(low, high, points)
+    return at, np.interp(at, np.linspace(lo, up, points), heights)
+
+
+@pytest.mark.parametrize("cut", [0, 3])
+def test_density_is_that_of_binned_weights(frame, cut):
+    rng = random.Random(4)
+    x = [rng.gauss(0, 1) if rng.random() < 0.7 else rng.gauss(6, 0.5) for _ in range(700)] + [2.5] * 60
+    curve = rows(explore.kde(frame("x double", [(v,) for v in x]), "x", cut=cut), "point")
+    at, y = binned_density(x, cut=cut)
+    assert [r[1] for r in curve] == pytest.approx(at.tolist())
+    assert [r[2] for r in curve] == pytest.approx(y.tolist(), abs=1e-9)
+
+
+def test_density_of_groups_sums_bins_alone(frame):
+    df = frame("g string, x double", [("a", float(i % 97)) for i in range(500)] + [("b", 3.0)] * 4 + [("c", 1.0), ("d", None)])
+    curves = explore.kde(df, "x", ["g"], cut=4)
+    assert curves.groupBy("g").count().where("count <> 512").count() == 0
+    areas = {g: [(r[2], r[3]) for r in rows(curves, "g", "point") if r[0] == g] for g in "abc"}
+    for g in "ab":
+        xs, ys = np.array(areas[g]).T
+        assert ((ys[1:] + ys[:-1]) / 2 * np.diff(xs)).sum() == pytest.approx(1, abs=2e-3)
+
+
+def test_p_values_of_missing_statistics_end(frame):
+    nan, inf = float("nan"), float("inf")
+    df = frame("s double, d double", [(None, 3.0), (nan, 3.0), (1.0, None), (1.0, 0.0), (1.0, nan), (inf, 3.0), (-inf, 3.0), (2.0, inf), (0.0, 2.0)])
+    got = df.select(explore.chi_square_p("s", "d").alias("c"), explore.t_test_p("s", "d").alias("t"), explore.normal_p("s").alias("z"))
+    c, t, z = zip(*[tuple(nan if v is None else v for v in r) for r in got.collect()])
+    assert c == pytest.approx((nan,) * 5 + (0.0, 1.0, 1.0, 1.0), nan_ok=True)
+    assert t == pytest.approx((nan,) * 5 + (0.0, 0.0, 0.0455, 1.0), abs=1e-4, nan_ok=True)
+    assert z == pytest.approx((nan, nan, 0.3173, 0.3173, 0.3173, 0.0, 0.0, 0.0455, 1.0), abs=1e-4, nan_ok=True)
+
+
+def test_tests_of_constant_columns_and_empty_tables_end(frame):
+    same = frame("g string, x double", [("a", 1.0)] * 3 + [("b", 1.0)] * 3)
+    r = explore.welch_t(same, "x", "g").withColumn("p", explore.t_test_p("t", "df")).first()
+    assert r.t is None and (r.p is None or math.isnan(r.p))
+    none = explore.chi_square(frame("r string, c string", [("a", "x")]).limit(0), "r", "c")
+    assert all(r.p is None or math.isnan(r.p) for r in none.withColumn("p", explore.chi_square_p("statistic", F.col("df").cast("double"))).collect())
+
+
 def test_chi_square_and_welch(frame):
     table = {("a", "x"): 10, ("a", "y"): 20, ("b", "x"): 30, ("b", "y"): 5, ("c", "x"): 8}
     df = frame("r string, c string", [k for k, n in table.items() for _ in range(n)])
