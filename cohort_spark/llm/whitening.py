@@ -25,12 +25,14 @@ SCALE = 64
 SHIFT = 1_000_000
 COMPONENTS = 16
 GUARD = 4
-INNER_STEPS = 8
+INNER_STEPS = 4
 INNER_GAIN = 0.02
 ROUNDING = 64 * np.finfo(float).eps
 STALLED = 1e-11
 ZERO = 1e-12
 BLOCK_ROWS = 4096
+PART_BYTES = 64 << 20
+FAN = 256
 Product = Callable[[np.ndarray], np.ndarray]
 
 
@@ -65,6 +67,7 @@ class FitList:
     """The distinct vectors and what centres them."""
 
     rows: DataFrame
+    parts: int
     size: int
     n: int
     sums: np.ndarray
@@ -83,18 +86,30 @@ class FitList:
                 total = now
             yield pa.RecordBatch.from_arrays([pa.array([total + lost], pa.list_(pa.float64()))], names=["v"])
 
-        partial = self.rows.mapInArrow(run, "v array<double>").select(F.posexplode("v").alias("i", "v"))
-        out = partial.groupBy("i").agg(F.sum("v").alias("v")).toArrow()  # ``entries`` rows
-        total = np.zeros(entries)
-        total[out.column("i").to_numpy()] = out.column("v").to_numpy()
-        return total
+        return added(self.rows.mapInArrow(run, "v array<double>"), self.parts, pa.float64(), entries)
 
     def covariance_times(self, u: np.ndarray) -> np.ndarray:
         """The covariance times the columns of ``u``."""
         return self.summed(lambda c: c.T @ (c @ u), u.size).reshape(u.shape) / self.n
 
-    def trace(self) -> float:
-        return float(self.summed(lambda c: np.array([(c * c).sum()]), 1)[0]) / self.n
+
+def added(partial: DataFrame, parts: int, kind: pa.DataType, entries: int) -> np.ndarray:
+    """The sum of the arrays ``v`` of ``entries`` numbers, at most ``FAN`` of which meet in a task at a time."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for v in batch.column("v"):
+                values = v.values.to_numpy()
+                total = values.copy() if total is None else total + values
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(kind))], names=["v"])
+
+    while parts > 1:
+        parts = -(-parts // FAN)
+        partial = partial.repartition(parts).mapInArrow(add, partial.schema)
+    rows = partial.collect()  # one row
+    return np.array(rows[0].v) if rows else np.zeros(entries, dtype=kind.to_pandas_dtype())
 
 
 def blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[np.ndarray]:
@@ -107,7 +122,10 @@ def blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[np.ndarray]
 
 def fit_list(vectors: DataFrame, size: int) -> FitList:
     """The distinct vectors of ``vectors`` (x), their number and their sums per dimension."""
-    rows = kept(vectors.select("x").distinct())
+    distinct = kept(vectors.select("x").distinct())
+    context = vectors.sparkSession.sparkContext
+    parts = max(context.defaultParallelism, -(-distinct.count() * 8 * size // PART_BYTES))
+    rows = kept(distinct.coalesce(parts))  # many passes over tasks of a useful size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(size, dtype=np.int64), 0
@@ -115,9 +133,9 @@ def fit_list(vectors: DataFrame, size: int) -> FitList:
             total, n = total + x.sum(axis=0), n + len(x)
         yield pa.RecordBatch.from_arrays([pa.array([[n, *total.tolist()]], pa.list_(pa.int64()))], names=["v"])
 
-    sums = rows.mapInArrow(run, "v array<bigint>").select(F.posexplode("v").alias("i", "v"))
-    out = {r.i: r.v for r in sums.groupBy("i").agg(F.sum("v").alias("v")).collect()}  # a row per dimension, one more
-    return FitList(rows, size, out.get(0, 0), np.array([out.get(i + 1, 0) for i in range(size)], dtype=np.int64))
+    parts = rows.rdd.getNumPartitions()
+    n, *sums = added(rows.mapInArrow(run, "v array<bigint>"), parts, pa.int64(), size + 1).tolist()
+    return FitList(rows, parts, size, n, np.array(sums, dtype=np.int64))
 
 
 # ---- Jacobi-Davidson ------------------------------------------------------------------------------------------
@@ -253,14 +271,15 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
     rows = filled(packed, size)
     fit = fit_list(rows, size)
     values, axes = largest(fit.covariance_times, size, min(components, size))
-    trace = fit.trace()
+    k = len(values)
+    moments = fit.summed(lambda c: np.concatenate([[(c * c).sum()], (c @ axes).sum(axis=0), ((c @ axes).T @ (c @ axes)).ravel()]), 1 + k + k * k) / fit.n
+    trace, mean, second = float(moments[0]), moments[1 : k + 1], moments[k + 1 :].reshape(k, k)
     usable = int((values > ZERO * max(trace, np.finfo(float).tiny)).sum())
     if not usable:
         return packed.sparkSession.createDataFrame([], out)
     values, axes = values[:usable], axes[:, :usable] / np.sqrt(values[:usable])
-    moments = fit.summed(lambda c: np.vstack([(c @ axes).T @ (c @ axes), (c @ axes).sum(axis=0)]), (usable + 1) * usable) / fit.n
-    second, mean = np.split(moments.reshape(usable + 1, usable), [usable])
-    error = float(np.abs(second - mean.T @ mean - np.eye(usable)).max())
+    covariance = (second - np.outer(mean, mean))[:usable, :usable] / np.sqrt(np.outer(values, values))
+    error = float(np.abs(covariance - np.eye(usable)).max())
     explained, n, sums = values / trace, fit.n, fit.sums
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
