@@ -7,11 +7,12 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from cohort_spark.catalog.common import (
-    ORDER, VARIABLES, hourly_panel, rounded, split_of,
+    FILLED_SQL, ORDER, SPLIT_SQL, VARIABLES, cols_sql, hourly_panel, round_sql, rounded, split_of,
 )
-from cohort_spark.catalog.filling import RULES
+from cohort_spark.catalog.filling import RULES, RULES_SQL
+from cohort_spark.catalog.fits import chance_sql, fit_sql
 from cohort_spark.catalog.registry import query
-from cohort_spark.catalog.statistics import target
+from cohort_spark.catalog.statistics import TARGET_SQL, metrics_sql, target
 from cohort_spark.operators import models, sequences, vectors
 from cohort_spark.operators.aggregate import aggregate_by_rules
 from cohort_spark.operators.clients import StatisticsEmbedder
@@ -35,6 +36,39 @@ def entity_table(t):
     return models.to_features(labelled.withColumn("split", split_of()), VARIABLES, ["entity_id", "label", "split"]).checkpoint()
 
 
+# The same table in SQL: ``x`` holds the features and a one.
+ENTITIES_SQL = f"""{FILLED_SQL}, {TARGET_SQL}, agg as (select entity_id, {RULES_SQL} from filled group by entity_id),
+whole as (select entity_id, {cols_sql("coalesce({c}::double, (select quantile_cont({c}, 0.5) from agg), 0) as {c}")} from agg),
+scales as (select {cols_sql("avg({c}) as {c}_at, stddev_pop({c}) as {c}_width")} from whole where {SPLIT_SQL} = 'a'),
+entities as (
+  select entity_id, label, {SPLIT_SQL} as split,
+    [{", ".join(round_sql(f"({c} - {c}_at) / case when {c}_width = 0 then 1 else {c}_width end", 9) for c in VARIABLES)}, 1.0::double] as x
+  from whole join target using (entity_id), scales where label is not null)"""
+WIDTH = len(VARIABLES) + 1
+ONE_MODEL_SQL = "models as (select 0 as m, 1.0::double as c, null::int as pick)"
+TRAIN_SQL = "fit_rows as (select x, label as y, 0 as pick from entities where split = 'a')"
+OUT_SQL = f"scored as (select split, label, {chance_sql()} as score from entities, fitted where split in ('b', 'c'))"
+
+
+def fitted_sql(penalty: str) -> str:
+    return f"with recursive {ENTITIES_SQL}, {ONE_MODEL_SQL}, {TRAIN_SQL}, {fit_sql(WIDTH, penalty)}"
+
+
+def searched_sql(penalty: str) -> str:
+    """Mean AUROC over the folds of every strength."""
+    return f"""with recursive {ENTITIES_SQL},
+    fit_rows as (select x, label as y, ((row_number() over (partition by label order by md5('42:' || entity_id), entity_id)) % 5)::int as pick
+      from entities where split = 'a'),
+    models as (select row_number() over () as m, c, pick from (select unnest({models.LOGISTIC_C!r})::double as c), (select unnest(range(5))::int as pick)),
+    {fit_sql(WIDTH, penalty, 3000, "r.pick <> s.pick")},
+    scored as (select m, c, y as label, {chance_sql()} as score from fitted join models using (m) join fit_rows using (pick)),
+    roc as (select c, m, (sum(r) filter (where label = 1) - p * (p + 1) / 2.0::double) / (p * nn) as auroc from (
+      select *, rank() over (partition by m order by score) + (count(*) over (partition by m, score) - 1) / 2.0::double as r,
+        sum(label) over (partition by m)::double as p, sum(1 - label) over (partition by m)::double as nn from scored)
+      group by c, m, p, nn)
+    select c as C, {round_sql("avg(auroc)", 4)} as auroc from roc group by c"""
+
+
 def splits(table):
     train = table.where("split = 'a'")
     return train, table.where("split = 'b'"), table.where("split = 'c'")
@@ -46,26 +80,26 @@ def scored_on(model, valid, test):
     return rounded(evaluate(scored, by=["split"]), METRICS, 4)
 
 
-@query("logistic_l2")
+@query("logistic_l2", f"{fitted_sql('l2')}, {OUT_SQL}, {metrics_sql('split', 4)}")
 def _(t):
     train, valid, test = splits(entity_table(t))
     return scored_on(models.fit_logistic(train), valid, test)
 
 
-@query("logistic_l1")
+@query("logistic_l1", f"{fitted_sql('l1')}, {OUT_SQL}, {metrics_sql('split', 4)}")
 def _(t):
     train, valid, test = splits(entity_table(t))
-    return scored_on(models.fit_logistic(train, penalty="l1", tol=1e-3), valid, test)
+    return scored_on(models.fit_logistic(train, penalty="l1"), valid, test)
 
 
-@query("grid_search_logistic")
+@query("grid_search_logistic", searched_sql("l2"))
 def _(t):
     train = models.stratified_folds(entity_table(t).where("split = 'a'"))
     _, scores = models.grid_search_logistic(train)
     return rounded(scores, ["auroc"], 4)
 
 
-@query("grid_search_logistic_l1")
+@query("grid_search_logistic_l1", searched_sql("l1"))
 def _(t):
     train = models.stratified_folds(entity_table(t).where("split = 'a'"))
     _, scores = models.grid_search_logistic(train, penalty="l1")
@@ -97,13 +131,23 @@ def _(t):
     return rounded(scores, ["auroc"], 4)
 
 
-@query("predict_positive")
+@query(
+    "predict_positive",
+    f"{fitted_sql('l2')} select entity_id, {round_sql(chance_sql(), 4)} as score from entities, fitted where split = 'b'",
+)
 def _(t):
     train, valid, _ = splits(entity_table(t))
     return rounded(models.predict_positive(models.fit_logistic(train), valid, ["entity_id"]), ["score"], 4)
 
 
-@query("label_scarcity_sweep")
+@query(
+    "label_scarcity_sweep",
+    f"""with recursive {ENTITIES_SQL},
+    fit_rows as (select x, label as y, row_number() over (order by md5('42:' || entity_id), entity_id) as pick from entities where split = 'a'),
+    models as (select pick as m, 1.0::double as c, pick from (select unnest([20, 40]) as pick)), {fit_sql(WIDTH, uses="r.pick <= s.pick")},
+    scored as (select m::int as sample_size, case split when 'b' then 'valid' else 'test' end as data, label, {chance_sql()} as score
+      from entities, fitted where split in ('b', 'c')), {metrics_sql("sample_size, data", 4)}""",
+)
 def _(t):
     train, valid, test = splits(entity_table(t))
     table = models.label_scarcity_sweep(train, {"valid": valid, "test": test}, [20, 40])
@@ -114,7 +158,14 @@ def labelled_vectors(t):
     return t.embeddings.select("vec_id", "embedding", (F.col("label") == 0).cast("int").alias("label"))
 
 
-@query("linear_probe")
+VECTORS_SQL = "vectors as (select vec_id, list_append(embedding::double[], 1.0::double) as x, (label = 0)::int as label from embeddings)"
+
+
+@query(
+    "linear_probe",
+    f"""with recursive {VECTORS_SQL}, {ONE_MODEL_SQL}, fit_rows as (select x, label as y, 0 as pick from vectors where vec_id % 3 <> 0),
+    {fit_sql(65)}, scored as (select label, {chance_sql()} as score from vectors, fitted where vec_id % 3 = 0), {metrics_sql("", 4)}""",
+)
 def _(t):
     rows = labelled_vectors(t)
     table = models.linear_probe(rows.where("vec_id % 3 <> 0"), rows.where("vec_id % 3 = 0"))
@@ -138,12 +189,13 @@ def _(t):
 
 @query("extract_embeddings")
 def _(t):
-    built = sequences.build_sequences(hourly_panel(t), ["click", "view"], target(t), pad_to=24, chunk_hours=None)
+    built = sequences.build_sequences(hourly_panel(t), VARIABLES, target(t), pad_to=24, chunk_hours=None)
     flat = built.select("entity_id", "label", "segment", "sequence").where("label is not null")
     features = flat.select(array_to_vector(F.flatten("sequence")).alias("features"))
     encoder = PCA(k=4, inputCol="features", outputCol="code").fit(features)
     coded = vectors.extract_embeddings(flat, encoder, keep=["entity_id", "segment", "label"])
-    return coded.select("entity_id", "segment", "label", F.size("embedding").alias("width"))
+    squares = [F.col("embedding")[i] * F.col("embedding")[i] for i in range(4)]  # a component may have either sign
+    return rounded(coded.select("entity_id", "segment", "label", *[s.alias(f"square{i}") for i, s in enumerate(squares)]), [f"square{i}" for i in range(4)], 3)
 
 
 @query("channel_classifier")

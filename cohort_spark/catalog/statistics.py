@@ -253,14 +253,14 @@ def target(t):
     return t.events.groupBy(F.col("user_id").alias("entity_id")).agg((worst > 150).cast("int").alias("label"))
 
 
-RELEVANT_COLS = [n for v in ["click", "error", "view"] for n in [f"{v}__mean", f"{v}__length", f"{v}__maximum"]]
+RELEVANT_COLS = NAMES
 
 
 def relevance_long(t):
     from cohort_spark.operators.relate import attach_labels
     from cohort_spark.operators.reshape import melt
 
-    extracted = features.extract_minimal_features(hourly_panel(t), ["click", "error", "view"], bounded=True)
+    extracted = features.extract_minimal_features(hourly_panel(t), VARIABLES, bounded=True)
     busy = (F.col("error__length") > 12).cast("double").alias("busy")
     # rounded, so that equal means are equal values whatever order they were summed in
     filled = rounded(impute_features(extracted, RELEVANT_COLS), RELEVANT_COLS).select("entity_id", *RELEVANT_COLS, busy)
@@ -311,10 +311,33 @@ def _(t):
 
 def extracted_and_target(t):
     extracted = features.extract_minimal_features(hourly_panel(t), VARIABLES, bounded=True)
-    return impute_features(extracted, NAMES), target(t)
-
-
-@query("feature_relevance")
+    return rounded(impute_features(extracted, NAMES), NAMES), target(t)
+
+
+# Two-sided tails: the normal one by a series of positive terms, Fisher's by the chances of all tables that are no likelier.
+NORMAL_SQL = """case when x = 0 then 1 else greatest(0, 1 - 2 / sqrt(pi()) * exp(-x * x) * (
+  select sum(exp(2 * i * ln(2) + (2 * i + 1) * ln(x) + lgamma(i + 1) - lgamma(2 * i + 2))) from range(0, 400) as terms(i))) end"""
+TABLE_CHANCE_SQL = """lgamma(rows + 1) - lgamma({k} + 1) - lgamma(rows - {k} + 1) + lgamma(n - rows + 1) - lgamma(cols - {k} + 1)
+  - lgamma(n - rows - cols + {k} + 1)"""
+RELEVANCE_SQL = f"""{RANK_SQL}, ends as (select feature, min(value) as low from long group by feature),
+lows as (select feature, count(*) filter (where label = 1) as low_pos, count(*) filter (where label = 0) as low_neg
+  from long join ends using (feature) where value = low group by feature),
+tested as (
+  select feature, distinct_values, n, positives as cols, n - low_pos - low_neg as rows, positives - low_pos as seen,
+    coalesce(abs(sign(u - positives * negatives / 2.0) * greatest(abs(u - positives * negatives / 2.0) - 0.5, 0) /
+      sqrt(nullif(greatest(positives * negatives / 12.0::double * (n + 1 - ties / (n * (n - 1.0::double))), 0), 0))), 0) / sqrt(2) as x
+  from u join ties using (feature) join lows using (feature) where distinct_values > 1 and feature <> 'busy'),
+binary_p as (
+  select feature, least(1, sum(exp(chance)) filter (where chance <= observed + 1e-7) / sum(exp(chance))) as p
+  from (select feature, {TABLE_CHANCE_SQL.format(k="k")} as chance, {TABLE_CHANCE_SQL.format(k="seen")} as observed
+    from (select *, unnest(range(greatest(0, rows + cols - n), least(rows, cols) + 1)) as k from tested where distinct_values = 2))
+  group by feature),
+p_values as (
+  select feature, case when distinct_values = 2 then 'binary' else 'real' end as kind, coalesce(b.p, {NORMAL_SQL}) as p
+  from tested left join binary_p b using (feature))"""
+
+
+@query("feature_relevance", f"with {RELEVANCE_SQL} select feature, kind, {round_sql('p')} as p from p_values")
 def _(t):
     extracted, labels = extracted_and_target(t)
     return rounded(features.feature_relevance(extracted, labels, NAMES), ["p"])
@@ -334,10 +357,15 @@ def _(t):
     return rounded(features.select_relevant(p), ["p"], 9)
 
 
-@query("selected_features")
+@query(
+    "selected_features",
+    f"""with {RELEVANCE_SQL}, p as (select feature, {round_sql("p", 9)} as p from p_values), {P_SQL[P_SQL.index("ranked as"):].replace("ranked", "placed")}
+    select feature, rank from placed, cut where rank <= last""",
+)
 def _(t):
     extracted, labels = extracted_and_target(t)
-    return features.select_relevant(features.feature_relevance(extracted, labels, NAMES), 0.05).select("feature", "rank")
+    p_values = rounded(features.feature_relevance(extracted, labels, NAMES), ["p"], 9)  # equal ones are told apart by name
+    return features.select_relevant(p_values, 0.05).select("feature", "rank")
 
 
 @query(
@@ -380,6 +408,16 @@ def _auroc_sql(by: str) -> str:
     ap as (select {also}sum(tp / p * ctp / ck) as average_precision from curve {f"group by {by}" if by else ""})"""
 
 
+def metrics_sql(by: str, digits: int = 6) -> str:
+    """Rows, log loss of probabilities, AUROC and average precision of ``scored`` per group."""
+    also, using = (f"{by}, ", f"using ({by})") if by else ("", "on true")
+    kept = "least(greatest(score, 2.220446049250313e-16), 1 - 2.220446049250313e-16)"
+    return f"""{_auroc_sql(by)},
+    losses as (select {also}avg(-(label * ln({kept}) + (1 - label) * ln(1 - {kept}))) as log_loss from scored {f"group by {by}" if by else ""})
+    select {also}n, {cols_sql(round_sql("{c}", digits) + " as {c}", ["log_loss", "auroc", "average_precision"])}
+    from roc join ap {using} join losses {using}"""
+
+
 @query("auroc", f"with {SCORED_SQL}, {_auroc_sql('')} select {round_sql('auroc')} as auroc from roc")
 def _(t):
     return rounded(metrics.auroc(scored(t)), ["auroc"])

@@ -9,7 +9,7 @@ from cohort_spark.catalog.common import (
     observations, outcomes, round_sql, rounded, split_of,
 )
 from cohort_spark.catalog.registry import query
-from cohort_spark.catalog.statistics import TARGET_SQL, target
+from cohort_spark.catalog.statistics import TARGET_SQL, metrics_sql, target
 from cohort_spark.functions.answers import clean_llm_output, extract_score
 from cohort_spark.functions.numeric import half_up
 from cohort_spark.operators import prompts, sequences, summaries, vectors
@@ -244,7 +244,16 @@ def _(t):
     return prompts.batch_infer(rows, RuleClient, ["conv_id", "turn"])
 
 
-@query("prompt_sweep")
+@query(
+    "prompt_sweep",
+    f"""with {LINES_SQL}, {TARGET_SQL}, bodies as (
+      select label, text, regexp_extract_all(body, '\\d+(?:\\.\\d+)?')[-1]::double as number from (
+        select label, summary_statistical, summary_trend from texts join target using (entity_id) where label is not null and {SPLIT_SQL} = 'c')
+      unpivot (body for text in (summary_statistical, summary_trend))),
+    graded as (select *, least(10, 1 + floor(number / 10)::bigint) as grade from bodies),
+    scored as (select text, shots, mode, label, case when mode = 'binary' then (grade > 5)::int::double else grade / 10.0::double end as score
+      from graded, (values ('few-shot'), ('zero-shot')) a(shots), (values ('binary'), ('score')) b(mode)), {metrics_sql("text, shots, mode")}""",
+)
 def _(t):
     rows = all_summaries(t).drop("label").join(target(t), "entity_id").where(F.col("label").isNotNull())
     test, train = rows.where(split_of() == "c"), rows.where(split_of() == "a")
@@ -266,7 +275,15 @@ def _(t):
 # ---- embeddings -------------------------------------------------------------------------------------------------------
 
 
-@query("embed_text")
+@query(
+    "embed_text",
+    f"""with words as (select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')) as word from documents),
+    slots as (select doc_id, ('0x' || md5(word)[1:8])::bigint % 32 as slot, count(*)::float as k from words group by 1, 2),
+    lengths as (select doc_id, sqrt(sum(k::double * k))::float as norm from slots group by 1),
+    entries as (select doc_id, map_from_entries(list((slot, {round_sql("(k / norm)::double", 5)}))) as by_slot from slots join lengths using (doc_id) group by 1)
+    select doc_id, [coalesce(by_slot[s], 0.0::double) for s in range(32)] as embedding from documents left join entries using (doc_id)""",
+)
 def _(t):
     made = vectors.embed_text(t.documents, "text", HashingEmbedder, ["doc_id"])
     return made.select("doc_id", F.transform("embedding", lambda v: half_up(v.cast("double"), 5)).alias("embedding"))

@@ -1,14 +1,15 @@
 """Stand-ins for models: small deterministic clients with the interface a real one is plugged in with.
 
 A text client answers ``client(system, prompt) -> str``; a text embedder maps a list of texts to one vector
-each; a series embedder maps one series to a vector per token.  Factories are what is shipped to tasks, so
-that a client is built once per partition.
+each; a series embedder maps a batch of series, padded at their ends and with a mask of what is real, to a vector
+per token.  Factories are what is shipped to tasks, so that a client is built once per partition.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
-import zlib
+from collections import Counter
 from collections.abc import Sequence
 
 import numpy as np
@@ -37,8 +38,9 @@ class HashingEmbedder:
     def __call__(self, texts: Sequence[str]) -> np.ndarray:
         out = np.zeros((len(texts), self.width), dtype=np.float32)
         for row, text in enumerate(texts):
-            for word in (text or "").lower().split():
-                out[row, zlib.crc32(word.encode()) % self.width] += 1
+            words = Counter((text or "").encode().lower().split())
+            for word, times in words.items():
+                out[row, int(hashlib.md5(word).hexdigest()[:8], 16) % self.width] += times
         norm = np.linalg.norm(out, axis=1, keepdims=True)
         return out / np.where(norm == 0, 1, norm)
 
@@ -48,10 +50,10 @@ class StatisticsEmbedder:
 
     width = 5
 
-    def __call__(self, series: np.ndarray) -> np.ndarray:
-        steps = np.arange(1, len(series) + 1)
-        change = np.diff(series, prepend=series[:1])
-        parts = [
-            series, change, np.cumsum(series) / steps, np.maximum.accumulate(series), np.minimum.accumulate(series)
-        ]
-        return np.stack(parts, axis=1).astype(np.float32)
+    def __call__(self, series: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        series = np.where(mask, series, 0.0)
+        steps = np.arange(1, series.shape[1] + 1)
+        change = np.diff(series, prepend=series[:, :1], axis=1)
+        highest, lowest = (f.accumulate(series, axis=1) for f in (np.maximum, np.minimum))
+        parts = [series, change, np.cumsum(series, axis=1) / steps, highest, lowest]
+        return np.stack(parts, axis=2).astype(np.float32)

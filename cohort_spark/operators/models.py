@@ -6,17 +6,18 @@ import itertools
 import random
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
+from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import PCA, PCAModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohort_spark.operators.aggregate import sample_rows
-from cohort_spark.operators.metrics import evaluate
+from cohort_spark.operators.logistic import LogisticModel, Setting, fit_many, scored_out
+from cohort_spark.operators.metrics import auroc, evaluate
 from cohort_spark.plans.chunks import number_rows
 
 # The settings searched.
@@ -36,18 +37,10 @@ def to_features(df: DataFrame, cols: Sequence[str] | str, keep: Sequence[str]) -
 
 
 def fit_logistic(
-    df: DataFrame, label: str = "label", C: float = 1.0, penalty: str = "l2", max_iter: int = 1000, tol: float = 1e-6
-):
+    df: DataFrame, label: str = "label", C: float = 1.0, penalty: str = "l2", max_iter: int = 1000, tol: float = 1e-10
+) -> LogisticModel:
     """Logistic regression that weighs the summed loss with ``C`` against the penalty.  Features as they are."""
-    rows = max(df.count(), 1)
-    return _logistic(label, penalty, max_iter, tol).setRegParam(1.0 / (C * rows)).fit(df)
-
-
-def _logistic(label: str, penalty: str, max_iter: int, tol: float) -> LogisticRegression:
-    mix = {"l2": 0.0, "l1": 1.0}[penalty]
-    return LogisticRegression(
-        labelCol=label, featuresCol="features", elasticNetParam=mix, standardization=False, maxIter=max_iter, tol=tol
-    )
+    return fit_many(df, [Setting(C)], label, penalty, max_iter, tol)[0]
 
 
 def fit_random_forest(df: DataFrame, label: str = "label", trees: int = 100, depth: int = 30, seed: int = 42, **options):
@@ -90,16 +83,21 @@ def _search(df: DataFrame, estimator, grid: list, label: str, folds: int, parall
 
 
 def grid_search_logistic(
-    df: DataFrame, label: str = "label", penalty: str = "l2", C: Sequence[float] = LOGISTIC_C, folds: int = 5,
-    parallelism: int = 4, max_iter: int = 1000,
-):
-    """Best model and the score of every ``C``, on the folds of column ``fold``."""
-    rows = max(df.count(), 1) * (folds - 1) / folds
-    estimator = _logistic(label, penalty, max_iter, 1e-4)
-    grid = ParamGridBuilder().addGrid(estimator.regParam, [1.0 / (c * rows) for c in C]).build()
-    model, table = _search(df, estimator, grid, label, folds, parallelism, ["regParam"])
-    strength = F.round(F.lit(1.0) / (F.col("regParam").cast("double") * rows), 9)
-    return model, table.select(strength.alias("C"), "auroc")
+    df: DataFrame, label: str = "label", penalty: str = "l2", C: Sequence[float] = LOGISTIC_C, folds: int = 5, max_iter: int = 1000
+) -> tuple[LogisticModel, DataFrame]:
+    """Best model and the mean AUROC of every ``C``, on the folds of column ``fold``.
+
+    The models of all strengths and folds, and those of all strengths on all rows, are fitted in the same passes.
+    """
+    inner = [Setting(float(c), f) for c in C for f in range(folds)]
+    outer = [Setting(float(c)) for c in C]
+    models = fit_many(df, inner + outer, label, penalty, max_iter)
+    scores = auroc(scored_out(df, inner, models[: len(inner)], label), by=["C", "fold"])
+    table = scores.groupBy("C").agg(F.avg("auroc").alias("auroc"))
+    mean = {r.C: r.auroc for r in table.collect()}  # a row per strength
+    known = [c for c in C if mean.get(float(c)) is not None]
+    best = max(known, key=lambda c: mean[float(c)], default=C[0])
+    return models[len(inner) + list(C).index(best)], table
 
 
 def random_search_forest(

@@ -15,7 +15,7 @@ from cohort_spark.operators.aggregate import sample_rows
 from cohort_spark.operators.metrics import evaluate
 from cohort_spark.operators.relate import expand_settings
 from cohort_spark.plans.chunks import with_parameters
-from cohort_spark.session import shared_folder
+from cohort_spark.session import scratch_path
 
 # The frame of a prompt and of its examples.
 EXAMPLES_HEAD = "### Examples\n"
@@ -139,11 +139,17 @@ def prompt_sweep(
     seed: int = 42,
     key: str = "entity_id",
     prompts: Mapping[str, str] = SYSTEM_PROMPTS,
+    store: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Every text column, with and without examples, in both answer modes: AUROC and average precision of each.
 
-    All settings are one plan: rows are expanded by setting, asked, scored and evaluated by setting.
+    Rows are expanded by setting, asked through a table of answers (``operators.answers``) in the folder ``store``, scored and
+    evaluated by setting.  Equal prompts are asked once, and a sweep over the same store asks only what is new; without a
+    ``store`` it is a folder of this run.
     """
+    from cohort_spark.operators.answers import answered
+
     modes = ["binary", "score"]
     rows = expand_settings(df, {"text": texts, "shots": ["few-shot", "zero-shot"], "mode": modes})
     shown = few_shot_contexts(train, texts, label, modes, examples, seed, key)
@@ -158,9 +164,8 @@ def prompt_sweep(
     asked = rows.select(
         key, label, *settings, system_prompt(F.col("mode"), prompts).alias("system"), user_prompt(chosen, context).alias("prompt")
     )
-    shared_folder(df.sparkSession)
-    # written once: the metrics read the answers more than once, and asking a model is the dear part
-    answers = batch_infer(asked, make_client, [key, label, *settings]).checkpoint()
+    store = store or scratch_path(df.sparkSession, "answers")
+    answers = answered(asked, make_client, store, [key, label, *settings], partitions)
     score = F.when(F.col("mode") == "score", extract_score(F.col("answer"), "score")).otherwise(
         extract_score(F.col("answer"), "binary")
     )

@@ -38,11 +38,24 @@ def embed_text(
     return df.select(*keys, text).mapInPandas(run, f"{_columns(df, keys)}, `{out}` array<float>")
 
 
+def batches_by_length(lengths: Sequence[int], places: int) -> Iterator[list[int]]:
+    """Numbers of pieces in order of length, in batches whose padded size is ``places`` at most (or one piece)."""
+    batch: list[int] = []
+    for i in sorted(range(len(lengths)), key=lengths.__getitem__):
+        if batch and (len(batch) + 1) * lengths[i] > places:
+            yield batch
+            batch = []
+        batch.append(i)
+    if batch:
+        yield batch
+
+
 def embed_series(
     df: DataFrame,
     cols: Sequence[str],
-    make_client: Callable[[], Callable[[np.ndarray], np.ndarray]],
+    make_client: Callable[[], Callable[[np.ndarray, np.ndarray], np.ndarray]],
     context: int = 8192,
+    batch_tokens: int = 1 << 16,
     entity: str = "entity_id",
     ts: str = "ts",
     chunk_hours: float | None = CHUNK_HOURS,
@@ -52,6 +65,9 @@ def embed_series(
 
     A series longer than the ``context`` of the encoder is embedded in consecutive pieces, numbered by
     ``piece``; nothing is cut off, and no row holds more than ``context`` readings.
+
+    The client gets batches: pieces of similar length, padded at their ends to the longest, with a mask of what is real.
+    A batch holds ``batch_tokens`` places at most, or one piece.
     """
     long = melt(df, [entity, ts], cols).where(F.col("value").isNotNull())
     numbered = number_rows(long, [entity, "variable"], [ts], "__at", chunks(chunk_hours, chunk_rows))
@@ -65,7 +81,16 @@ def embed_series(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make_client()
         for batch in batches:
-            tokens = [client(np.asarray(s, dtype=float)).astype(np.float32).tolist() for s in batch["series"]]
+            series = [np.asarray(s, dtype=float) for s in batch["series"]]
+            tokens: list = [None] * len(series)
+            for members in batches_by_length([len(s) for s in series], batch_tokens):
+                longest = max(len(series[i]) for i in members)
+                padded, mask = np.zeros((len(members), longest)), np.zeros((len(members), longest), dtype=bool)
+                for row, i in enumerate(members):
+                    padded[row, : len(series[i])], mask[row, : len(series[i])] = series[i], True
+                made = np.asarray(client(padded, mask), dtype=np.float32)
+                for row, i in enumerate(members):
+                    tokens[i] = made[row, : len(series[i])].tolist()
             yield batch[keys].assign(tokens=tokens)
 
     return series.mapInPandas(run, f"{_columns(series, keys)}, tokens array<array<float>>")
@@ -86,7 +111,7 @@ def pool_tokens(df: DataFrame, by: Sequence[str], tokens: str = "tokens", out: s
 def patient_embedding(
     df: DataFrame,
     cols: Sequence[str],
-    make_client: Callable[[], Callable[[np.ndarray], np.ndarray]],
+    make_client: Callable[[], Callable[[np.ndarray, np.ndarray], np.ndarray]],
     width: int | None = None,
     entity: str = "entity_id",
     **options,

@@ -139,17 +139,20 @@ def number_rows(
     by: Sequence[str],
     order: Sequence[str],
     name: str,
-    chunk: Chunks | None = None,
+    chunk: Chunks | Column | None = None,
     total: str | None = None,
 ) -> DataFrame:
-    """1-based position of each row in its group, and with ``total`` the rows of the group."""
+    """1-based position of each row in its group, and with ``total`` the rows of the group.
+
+    An order of even keys (a hash) may be cut by a column that never decreases along it.
+    """
     by = list(by)
     whole = W.partitionBy(*by)
     if chunk is None:
         counted = {} if total is None else {total: F.count(F.lit(1)).over(whole)}
         place = F.row_number().over(whole.orderBy(*order)).cast("bigint")
         return df.withColumns({name: place, **counted})
-    rows = with_chunks(df, by, order, chunk)
+    rows = df.withColumn(CHUNK, chunk) if isinstance(chunk, Column) else with_chunks(df, by, order, chunk)
     sizes = rows.groupBy(*by, CHUNK).agg(F.count(F.lit(1)).alias("__n"))
     earlier = whole.orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(
