@@ -1,7 +1,9 @@
 """Nearest-neighbour imputation without comparing every gap with every donor.
 
-Donors are cut into cells along the quantiles of each column (a missing coordinate is a cell coordinate of
-its own).  The cell table has at most ``MOST_CELLS`` rows per split, whatever the data, so every task can
+Donors are cut into cells by a tree of medians: first by which columns they know, then, within one such pattern, again and
+again along the column that spreads most there, until a cell holds about ``CELL_ROWS`` donors.  So the number of cells
+follows the number of rows, whatever the number of columns.  The cuts come from a sample of ``SAMPLE_ROWS`` rows and only
+balance the work.  The cell table has at most ``MOST_CELLS`` rows per split, and one per pattern more, so every task can
 hold it.  For a row with gaps it tells which cells can hold one of its ``k`` nearest donors: the cells
 whose nearest corner is not farther than the distance within which whole cells already supply ``k``
 donors.  Only those cells are searched, so the result is exact.  Cells with many donors or many searching
@@ -14,7 +16,6 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -23,9 +24,12 @@ from cohort_spark.plans.chunks import attach
 from cohort_spark.session import shared_folder
 
 MOST_CELLS = 4096
+SAMPLE_ROWS = 65_536
 CELL_ROWS = 2_000
 SLICE_ROWS = 20_000
 BLOCK = 256
+BLOCK_ENTRIES = 1 << 21
+OWN = 1 << 62
 
 
 def _tuple_key(split: str, cols: Sequence[str]) -> Column:
@@ -34,27 +38,85 @@ def _tuple_key(split: str, cols: Sequence[str]) -> Column:
     return F.md5(F.concat_ws("|", *[F.coalesce(v.cast("string"), F.lit("~")) for v in values]))
 
 
-def _cuts(pool: DataFrame, cols: Sequence[str], rows: int) -> tuple[int, list[list[float]]]:
-    """Slices per column and the cut points between them; rough quantiles do, as cuts only balance the work."""
-    most = max(1, int(MOST_CELLS ** (1 / len(cols)) + 1e-9) - 1)
-    per_column = min(most, max(1, round((rows / CELL_ROWS) ** (1 / len(cols)))))
-    probs = [i / per_column for i in range(1, per_column)]
-    return per_column, pool.approxQuantile(list(cols), probs, 0.25 / per_column) if probs else [[] for _ in cols]
+class _Tree:
+    """Cells of rows: a tree of cuts per pattern of known columns."""
+
+    def __init__(self, sample: np.ndarray, cells: int):
+        self.roots: dict[int, int] = {}
+        self.column, self.cut, self.below = [], [], []  # per node: the column, the cut, and the first of its two children
+        pattern = self.patterns(sample)
+        for found in np.unique(pattern):
+            rows = sample[pattern == found]
+            leaves = max(1, round(cells * len(rows) / len(sample)))
+            self.roots[int(found)] = self._grown(rows, np.flatnonzero(~np.isnan(rows[0])).tolist(), leaves)
+
+    @staticmethod
+    def patterns(values: np.ndarray) -> np.ndarray:
+        """A number below ``OWN`` for the known columns of each row: their bits, or a hash of more columns than it has bits."""
+        m = values.shape[1]
+        weights = np.random.default_rng(11).integers(1, OWN, m) if m > 62 else np.int64(1) << np.arange(m, dtype=np.int64)
+        return (~np.isnan(values) @ weights) & (OWN - 1)
+
+    def _node(self) -> int:
+        self.column.append(-1)
+        self.cut.append(0.0)
+        self.below.append(-1)
+        return len(self.column) - 1
+
+    def _grown(self, rows: np.ndarray, columns: list[int], leaves: int) -> int:
+        root = self._node()
+        waiting = [(root, rows, leaves)]
+        while waiting:
+            node, part, leaves = waiting.pop()
+            if leaves < 2 or len(part) < 2 or not columns:
+                continue
+            values = part[:, columns]
+            widest = columns[int(np.argmax(values.std(axis=0)))]
+            cut = float(np.median(part[:, widest]))
+            left = part[:, widest] <= cut
+            if left.all():  # the upper half is one value
+                left = part[:, widest] < cut
+                cut = float(np.nextafter(cut, -np.inf))
+            if not left.any():
+                continue
+            children = self._node(), self._node()
+            self.column[node], self.cut[node], self.below[node] = widest, cut, children[0]
+            half = min(leaves - 1, max(1, round(leaves * left.mean())))
+            waiting += [(children[0], part[left], half), (children[1], part[~left], leaves - half)]
+        return root
+
+    def cells(self, values: np.ndarray) -> np.ndarray:
+        """The cell number of each row; a pattern that the sample lacks is a cell of its own."""
+        column, cut, below = np.array(self.column), np.array(self.cut), np.array(self.below)
+        pattern = self.patterns(values)
+        at = np.array([self.roots.get(int(p), -1) for p in pattern], dtype=np.int64)
+        inner = np.flatnonzero((at >= 0) & (below[at] >= 0))
+        while len(inner):
+            node = at[inner]
+            at[inner] = below[node] + (values[inner, column[node]] > cut[node])
+            inner = inner[below[at[inner]] >= 0]
+        return np.where(at >= 0, at, OWN + pattern)
+
+
+def _planted(pool: DataFrame, cols: Sequence[str], rows: int, widths: np.ndarray) -> _Tree:
+    """The tree over a sample of the pool that a hash chooses."""
+    share = min(1.0, SAMPLE_ROWS / max(rows, 1))
+    chosen = F.pmod(F.xxhash64(F.lit("cells"), "donor"), F.lit(1 << 30)) < int(share * (1 << 30))
+    found = pool.where(chosen).select(*cols).limit(2 * SAMPLE_ROWS).toPandas()
+    sample = found.to_numpy(dtype=float, na_value=np.nan).reshape(len(found), len(cols)) / widths
+    return _Tree(sample, min(MOST_CELLS, -(-rows // CELL_ROWS)))
+
+
+def _with_cells(donors: DataFrame, cols: Sequence[str], tree: _Tree, widths: np.ndarray) -> DataFrame:
+    """Add the cell number."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            values = batch[list(cols)].to_numpy(dtype=float, na_value=np.nan) / widths
+            yield batch.assign(cell=tree.cells(values))
 
-def _with_cells(donors: DataFrame, cols: Sequence[str], per_column: int, cuts: list[list[float]]) -> DataFrame:
-    """Add the cell number; its digits are the slices of the columns, 0 for a missing value."""
-    base = per_column + 1
-    out, cell = donors, F.lit(0).cast("bigint")
-    for i, (c, found) in enumerate(zip(cols, cuts)):
-        if found:
-            edges = [float("-inf"), *sorted(set(found)), float("inf")]
-            out = Bucketizer(splits=edges, inputCol=c, outputCol=f"__b{i}", handleInvalid="keep").transform(out)
-        else:
-            out = out.withColumn(f"__b{i}", F.lit(0.0))
-        digit = F.when(F.col(c).isNull(), F.lit(0)).otherwise(F.col(f"__b{i}") + 1).cast("bigint")
-        cell = cell * F.lit(base) + digit
-    return out.withColumn("cell", cell).drop(*[f"__b{i}" for i in range(len(cols))])
+    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in donors.schema)
+    return donors.mapInPandas(run, f"{names}, cell bigint")
 
 
 class _Cells:
@@ -108,8 +170,9 @@ def _route(targets: DataFrame, summary: list, splits: list, cols: Sequence[str],
                 if table is None:
                     continue
                 part_rows = batch.index.get_indexer(part.index)
-                for start in range(0, len(part_rows), BLOCK):
-                    rows = part_rows[start : start + BLOCK]
+                block = max(1, min(BLOCK, BLOCK_ENTRIES // (len(table.cell) * m)))
+                for start in range(0, len(part_rows), block):
+                    rows = part_rows[start : start + block]
                     for gap in np.flatnonzero(missing[rows[0]]):
                         row, cell = table.needed(values[rows] / width, int(gap), k)
                         slices = -(-table.count[cell] // SLICE_ROWS)
@@ -215,7 +278,7 @@ def knn_impute(
     donors = pool.withColumn("__at", F.row_number().over(same)).where(
         F.col("__at") <= k
     ).drop("__at")
-    donors = _with_cells(donors, cols, *_cuts(pool, cols, size["n"]))
+    donors = _with_cells(donors, cols, _planted(pool, cols, size["n"], np.array(widths)), np.array(widths))
     summary = donors.groupBy("split", "cell").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],

@@ -144,6 +144,52 @@ def test_knn_equals_brute_force(frame, monkeypatch, cell_rows, slice_rows):
         assert got[i] == pytest.approx(want[i], abs=1e-9), i
 
 
+def searched_pairs(n, m=12, k=5):
+    """Donors that the cells of ``n`` clustered rows leave to search, over all gaps of a tenth of the rows."""
+    rng = np.random.default_rng(n)
+    centres = rng.normal(size=(n // 400, m)) * 20
+    values = centres[rng.integers(0, len(centres), n)] + rng.normal(size=(n, m))
+    values[rng.random(n) < 0.1, 0] = np.nan
+    tree = knn_module._Tree(values, n // 100)
+    cell = tree.cells(values)
+    table = []
+    for c in np.unique(cell):
+        part = values[cell == c]
+        known = ~np.isnan(part[0])
+        assert (~np.isnan(part) == known).all()  # one pattern per cell
+        ends = {f"{end}{i}": float(f(part[:, i])) if known[i] else None for i in range(m) for end, f in (("lo", np.min), ("hi", np.max))}
+        table.append({"cell": int(c), "n": len(part), **ends})
+    cells = knn_module._Cells(table, m, np.ones(m))
+    targets = values[np.isnan(values[:, 0])]
+    pairs, gaps = 0, 0
+    for start in range(0, len(targets), 64):
+        x = targets[start : start + 64]
+        row, found = cells.needed(x, 0, k)
+        pairs, gaps = pairs + int(cells.count[found].sum()), gaps + len(x)
+        donors = values[~np.isnan(values[:, 0])]
+        for i in range(0, len(x), 16):  # the nearest donors lie in the cells that are left
+            distance = ((donors[:, 1:] - x[i, 1:]) ** 2).sum(axis=1)
+            nearest = donors[np.argsort(distance)[:k]]
+            assert set(tree.cells(nearest).tolist()) <= set(cells.cell[found[row == i]].tolist())
+    return pairs, gaps * n
+
+
+def test_knn_keeps_pruning_with_many_columns_and_rows():
+    found = [searched_pairs(n) for n in (2_000, 8_000, 32_000)]
+    shares = [pairs / every for pairs, every in found]
+    assert shares[0] < 0.3 and shares[1] < 0.5 * shares[0] and shares[2] < 0.5 * shares[1]
+
+
+def test_knn_with_more_columns_than_bits(frame):
+    rng = random.Random(2)
+    names = [f"c{i}" for i in range(70)]
+    table = {i: [None if rng.random() < 0.02 else float(rng.randint(0, 5)) for _ in names] for i in range(40)}
+    df = frame(", ".join(["entity_id bigint", *[f"{c} double" for c in names]]), [(i, *v) for i, v in table.items()])
+    got = {r[0]: list(r[1:]) for r in rows(knn_impute(df, names, k=3))}
+    want = brute_knn(table, 3)
+    assert all(got[i] == pytest.approx(want[i]) for i in table)
+
+
 def test_knn_with_few_donors_and_splits(frame):
     df = frame(
         "entity_id bigint, s string, a double, b double",
