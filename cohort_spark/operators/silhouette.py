@@ -14,8 +14,9 @@ def silhouette(df: DataFrame, vector: str = "embedding", label: str = "label", k
     """Mean of (b - a) / max(a, b) over all rows, with Euclidean distances: one row.
 
     Mean distances to a cluster have no shorter form than the sum over its members, so the work is quadratic.
-    It is cut into tiles of bounded size: rows are hashed into blocks, every block meets every other in a
-    task of its own, and a tile hands on only one sum per row and cluster, never a pair.  For data where
+    It is cut into tiles of bounded size: rows are hashed into ``b`` blocks of about ``BLOCK_ROWS``, and every two blocks meet
+    once, in one of ``b * (b + 1) / 2`` tiles.  A tile computes each distance once and hands on one sum per row and cluster for
+    both of its blocks, never a pair; ``b`` copies of every row are shuffled.  For data where
     that is too much, ``silhouette_squared`` is linear.
     """
     points = df.where(F.col(label).isNotNull()).select(
@@ -23,29 +24,32 @@ def silhouette(df: DataFrame, vector: str = "embedding", label: str = "label", k
     )
     blocks = max(1, -(-points.count() // BLOCK_ROWS))
     placed = points.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = placed.withColumnRenamed("block", "i").withColumn("j", every)
-    right = placed.withColumnRenamed("block", "j").withColumn("i", every)
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    met = met.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
     types = dict(points.dtypes)
+    columns = ["id", "cluster", "other", "total", "n"]
 
-    def tile(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    def sums_to(rows: pd.DataFrame, others: pd.DataFrame, distance: np.ndarray) -> list[pd.DataFrame]:
+        """The sum of every row's distances to the members of each cluster among ``others``."""
+        out = []
+        for cluster, members in others.groupby("cluster").indices.items():
+            total = distance[:, members].sum(axis=1)
+            out.append(pd.DataFrame({"id": rows["id"], "cluster": rows["cluster"], "other": cluster, "total": total, "n": len(members)}))
+        return out
+
+    def tile(key: tuple, both: pd.DataFrame) -> pd.DataFrame:
+        a, b = (both[both["block"] == k] for k in key)
         out = []
         if len(a) and len(b):
             x, y = np.stack(a["x"].to_list()), np.stack(b["x"].to_list())
             gram = (x**2).sum(1)[:, None] + (y**2).sum(1)[None, :] - 2 * x @ y.T
             gram[a["id"].to_numpy()[:, None] == b["id"].to_numpy()[None, :]] = 0.0
             distance = np.sqrt(np.maximum(gram, 0.0))
-            for cluster, members in b.groupby("cluster").indices.items():
-                total = distance[:, members].sum(axis=1)
-                out.append(
-                    pd.DataFrame(
-                        {"id": a["id"], "cluster": a["cluster"], "other": cluster, "total": total, "n": len(members)}
-                    )
-                )
-        return pd.concat(out) if out else pd.DataFrame(columns=["id", "cluster", "other", "total", "n"])
+            out = sums_to(a, b, distance) + (sums_to(b, a, distance.T) if key[0] != key[1] else [])
+        return pd.concat(out) if out else pd.DataFrame(columns=columns)
 
     schema = f"id {types['id']}, cluster {types['cluster']}, other {types['cluster']}, total double, n bigint"
-    sums = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(tile, schema)
+    sums = met.groupBy("i", "j").applyInPandas(tile, schema)
     sums = sums.groupBy("id", "cluster", "other").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     own = F.col("cluster") == F.col("other")
     each = sums.groupBy("id").agg(

@@ -240,3 +240,18 @@ def test_welch_t_needs_two_groups(frame):
 def test_nan_is_no_value(frame):
     df = frame("x double", [(1.0,), (float("nan"),), (3.0,), (None,)])
     assert exact_quantiles(df, "x", {"m": 0.5}).first().m == 2.0
+
+
+@pytest.mark.parametrize("block_rows", [7, 30, 4000])
+def test_blocks_of_a_silhouette_meet_once(frame, monkeypatch, block_rows):
+    from cohort_spark.operators import silhouette as module
+
+    monkeypatch.setattr(module, "BLOCK_ROWS", block_rows)
+    rng = np.random.default_rng(3)
+    x, labels = rng.normal(size=(90, 3)), rng.integers(0, 4, 90)
+    df = frame("vec_id bigint, a double, b double, c double, label int", [(i, *map(float, v), int(k)) for i, (v, k) in enumerate(zip(x, labels))])
+    points = df.select("vec_id", F.array("a", "b", "c").alias("embedding"), "label")
+    found = silhouette(points)
+    assert found.first()[0] == pytest.approx(brute_silhouette(x, labels, 1))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1  # one copy of a row per block, where two sides would take two
