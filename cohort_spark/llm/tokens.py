@@ -6,7 +6,9 @@ words, one after another.  The library encodes each distinct word once per worke
 
 from __future__ import annotations
 
+import re
 import string
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -19,6 +21,20 @@ END_ID = 1
 CACHED_WORDS = 250_000
 
 
+def _byte_characters() -> list[str]:
+    """The character that stands for each byte in the vocabulary: itself where it can be seen, else one from 256 on."""
+    seen = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return [chr(b if b in seen else next(others)) for b in range(256)]
+
+
+# Letters that the normaliser only turns to lower case: Latin ones below 0x100.  The splitter keeps runs of them together.
+_BYTES = _byte_characters()
+_LATIN = [chr(c) for c in range(0x41, 0x100) if chr(c).isalpha() and chr(c) not in "\xaa\xb5\xba"]
+_SPELLED = str.maketrans({c: "".join(_BYTES[b] for b in c.lower().encode()) for c in _LATIN})
+_LETTERS = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+").fullmatch
+
+
 class Encoder(dict):
     """Maps the UTF-8 bytes of a word to the bytes of its ids (little-endian, unsigned, 32 bits)."""
 
@@ -33,37 +49,43 @@ class Encoder(dict):
     def __missing__(self, word: bytes) -> bytes:
         ids = self.older.get(word)
         if ids is None:
-            ids = self._ids(word.decode("utf-8", "replace"))
+            text = word.decode("utf-8", "replace")
+            core = text.rstrip(string.punctuation)
+            if not _LETTERS(core):
+                ids = self._packed(self.library.encode(text, add_special_tokens=False).ids)
+            else:  # a run of letters and one of marks: the splitter parts the two whatever they are
+                ids = self.letters(core.lower() if core.isascii() else core.translate(_SPELLED))
+                if len(core) < len(text):
+                    ids += self.marks(text[len(core) :])
         if len(self) >= self.most:  # the words of the last generation stay at hand
             self.older = dict(self)
             self.clear()
         self[word] = ids
         return ids
 
-    def _ids(self, word: str) -> bytes:
-        core = word.rstrip(string.punctuation)
-        if not core.isalpha():
-            return self._whole(word)
-        if core == word:
-            return self._part(core)
-        return self._part(core) + self._part(word[len(core) :])
-
-    def _part(self, part: str) -> bytes:
-        """A run of letters, or one of marks: the splitter parts the two whatever they are."""
-        key = part.lower() if part.isascii() else part
-        ids = self.parts.get(key)
+    def letters(self, spelled: str) -> bytes:
+        """The ids of a run of letters, given as the model spells them."""
+        ids = self.parts.get(spelled)
         if ids is None:
-            if key.isascii() and key.isalpha():  # letters that are lower-case ASCII reach the model as they are
-                ids = np.array([t.id for t in self.model.tokenize(key)], dtype="<u4").tobytes()
-            else:
-                ids = self._whole(key)
-            if len(self.parts) >= self.most:
-                self.parts.clear()
-            self.parts[key] = ids
+            ids = self._kept(spelled, [t.id for t in self.model.tokenize(spelled)])
         return ids
 
-    def _whole(self, word: str) -> bytes:
-        return np.array(self.library.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def marks(self, marks: str) -> bytes:
+        """The ids of a run of ASCII marks."""
+        ids = self.parts.get(marks)
+        if ids is None:
+            ids = self._kept(marks, self.library.encode(marks, add_special_tokens=False).ids)
+        return ids
+
+    def _kept(self, part: str, ids: list[int]) -> bytes:
+        if len(self.parts) >= self.most:
+            self.parts.clear()
+        packed = self.parts[part] = self._packed(ids)
+        return packed
+
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, text: bytes) -> bytes:
         """The ids of a whole text."""
