@@ -3,14 +3,17 @@
 Two zstandard dictionaries are trained on labelled text.  Both start with the common words of ordinary text, and go on with
 the segments (words) that occur in more distinct surroundings in one class than in the other: those of toxic text in one,
 those of ordinary text in the other.  Counting distinct surroundings keeps copies of one text from deciding.
-Windows of one word and of three words, one from each word on, are compressed with both; where the toxic dictionary saves
-bytes, the window is closer to toxic text.  zstandard finds no match in the last bytes of its input, and a single short
+Windows of one word, one for each, and of ``WINDOW`` words, one from every ``STEP``-th word on, so that each word lies in
+two of them, are compressed with both; where the toxic dictionary saves bytes, the window is closer to toxic text.  A match is at least four bytes long, and zstandard finds it by four bytes at every
+third place of a dictionary: a window without any such four bytes of the toxic segments has nothing to gain from them, and counts
+as saving nothing without being compressed (what it would save or lose is down to common words that one table has lost).  zstandard finds no match in the last bytes of its input, and a single short
 match doesn't pay for its block header: so every window stands between a head and a tail that end both dictionaries.  The score is a logistic function of how many windows of a text save how many bytes, calibrated on
 labelled texts that the dictionaries were not trained on.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -26,15 +29,18 @@ from cohort_spark.llm.store import kept
 #: Dictionaries and calibration are fitted on at most about this many labelled texts of each class, chosen by a hash.
 SAMPLE_TEXTS = 4000
 LEVEL = 3
-SEGMENTS = 512
+WINDOW = 4
+STEP = 2
+#: A dictionary holds this many common words, and segments of its class up to this many bytes.
 COMMON = 1024
+SEGMENT_BYTES = 1 << 15
 #: A segment must have this many surroundings: the first number, the second from 60 toxic training texts for each on.
 LEAST_COUNT = (3, 6)
 LEAST_RATIO = 6.0
 STEPS = 9
 CUTOFF = 0.7
 CACHED_WORDS = 200_000
-CACHED_TRIPLES = 50_000
+CACHED_TEXTS = 2_000
 #: zstandard's fast double hash enters every third place of a dictionary into its table of short matches.
 STRIDE = 3
 #: Around every window, and at the end of both dictionaries.
@@ -48,10 +54,33 @@ def _words(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def _triples(words: list[bytes]) -> list[bytes]:
-    if len(words) < 3:
-        return [b" " + b"  ".join(words) + b" "]
-    return [b" %b  %b  %b " % t for t in zip(words, words[1:], words[2:])]
+@dataclass
+class Framed:
+    """A text as its words with spaces around each; a window of words is a slice of it."""
+
+    body: bytes
+    begins: np.ndarray
+    ends: np.ndarray
+
+    def windows(self, size: int, step: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where the windows of ``size`` words begin and end; the last one ends with the text, a shorter text is one window."""
+        last = max(0, len(self.begins) - size)
+        first = np.append(np.arange(0, last, step), last)
+        return self.begins[first], self.ends[np.minimum(first + size, len(self.ends)) - 1]
+
+
+def framed(words: list[bytes]) -> Framed:
+    if not words:
+        return Framed(b"  ", np.zeros(1, dtype=np.int64), np.full(1, 2, dtype=np.int64))
+    size = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 2
+    ends = np.cumsum(size)
+    return Framed(b" %b " % b"  ".join(words), ends - size, ends)
+
+
+def _fours(body: np.ndarray) -> np.ndarray:
+    """A number below ``1 << 16`` for the four bytes from each place on."""
+    x = body.astype(np.uint32)
+    return ((x[:-3] | x[1:-2] << 8 | x[2:-1] << 16 | x[3:] << 24) * np.uint32(0x9E3779B1)) >> np.uint32(16)
 
 
 def _joined(segments: list[bytes]) -> bytes:
@@ -69,11 +98,23 @@ class Compressors:
     toxic: bytes
     ordinary: bytes
     cache: dict = field(default_factory=dict, repr=False)
-    triples: dict = field(default_factory=dict, repr=False)
+    older: dict = field(default_factory=dict, repr=False)
+    texts: dict = field(default_factory=dict, repr=False)
     made: list = field(default_factory=list, repr=False)
 
     def __getstate__(self):
-        return {"toxic": self.toxic, "ordinary": self.ordinary, "cache": {}, "triples": {}, "made": []}
+        return {"toxic": self.toxic, "ordinary": self.ordinary, "cache": {}, "older": {}, "texts": {}, "made": []}
+
+    def _matchable(self) -> np.ndarray:
+        """Which four bytes a match with a toxic segment can be found by."""
+        if len(self.made) < 3:
+            self._both()
+            first = len(os.path.commonprefix([self.toxic, self.ordinary])) // STRIDE * STRIDE
+            content = np.frombuffer(self.toxic + HEAD, dtype=np.uint8)
+            table = np.zeros(1 << 16, dtype=bool)
+            table[_fours(content)[first : len(self.toxic) : STRIDE]] = True
+            self.made.append(table)
+        return self.made[2]
 
     def _both(self) -> list:
         if not self.made:
@@ -85,7 +126,7 @@ class Compressors:
                         level=LEVEL, dict_data=dictionary, write_content_size=False, write_checksum=False, write_dict_id=False
                     ).compress
                 )
-        return self.made
+        return self.made[:2]
 
     def saved(self, window: bytes) -> int:
         """Bytes that the toxic dictionary saves."""
@@ -93,25 +134,50 @@ class Compressors:
         window = HEAD + window + TAIL
         return len(ordinary(window)) - len(toxic(window))
 
-    def _savings(self, windows: list[bytes], cache: dict, most: int) -> list[int]:
-        out = []
-        for window in windows:
-            value = cache.get(window)
-            if value is None:
-                if len(cache) >= most:
-                    cache.clear()
-                value = cache[window] = self.saved(window)
-            out.append(value)
-        return out
+    def _of_word(self, word: bytes) -> int:
+        """What a word saves by itself, kept with the words of this generation and the one before."""
+        value = self.older.get(word)
+        if value is None:
+            value = self.saved(b" %b " % word)
+        if len(self.cache) >= CACHED_WORDS:
+            self.older = dict(self.cache)
+            self.cache.clear()
+        self.cache[word] = value
+        return value
 
     def features(self, text: str | None) -> list[float]:
-        """What the windows of a whole text save: the number of windows, the largest savings, and how many save 1, 2 .. bytes."""
-        words = _words(text)
-        single = self._savings([b" %b " % w for w in words], self.cache, CACHED_WORDS)
-        triple = self._savings(_triples(words), self.triples, CACHED_TRIPLES)
+        """What the windows of a whole text save, the same for equal texts near one another."""
+        known = self.texts.get(text)
+        if known is None:
+            if len(self.texts) >= CACHED_TEXTS:
+                self.texts.clear()
+            known = self.texts[text] = self._features(_words(text))
+        return known
+
+    def _savings(self, text: Framed, size: int, step: int) -> np.ndarray:
+        """What each window of ``size`` words saves."""
+        begins, ends = text.windows(size, step)
+        body = np.frombuffer(text.body, dtype=np.uint8)
+        out = np.zeros(len(begins), dtype=np.int64)
+        if len(body) < 4:
+            return out
+        found = np.append(0, np.cumsum(self._matchable()[_fours(body)]))
+        gains = np.flatnonzero(found[np.maximum(ends - 3, begins)] > found[begins])
+        if size == 1:
+            known, whole = self.cache.get, text.body
+            words = [whole[a:b] for a, b in zip((begins[gains] + 1).tolist(), (ends[gains] - 1).tolist())]
+            out[gains] = [v if v is not None else self._of_word(w) for w, v in zip(words, map(known, words))]
+        else:
+            toxic, ordinary = self._both()
+            inputs = [HEAD + text.body[a:b] + TAIL for a, b in zip(begins[gains].tolist(), ends[gains].tolist())]
+            out[gains] = [len(b) - len(a) for a, b in zip(map(toxic, inputs), map(ordinary, inputs))]
+        return out
+
+    def _features(self, words: list[bytes]) -> list[float]:
+        """The number of windows, the largest savings, and how many save 1, 2 .. bytes: of words, and of windows of several."""
+        text = framed(words)
         out: list[float] = []
-        for savings in (single or [0], triple):
-            s = np.array(savings)
+        for s in (self._savings(text, 1, 1), self._savings(text, WINDOW, STEP)):
             top = np.sort(s)[::-1][:4]
             out += [len(s), top[0], top[:2].mean(), top.mean()]
             out += (len(s) - np.searchsorted(np.sort(s), np.arange(1, STEPS + 1), side="left")).tolist()
@@ -165,7 +231,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, usable: Column, sample:
     place = F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(1 << 20))
     shares = {k: min(1.0, sample / n) for k, n in counts.items()}
 
-
     def of_class(values: dict) -> Column:
         return F.when(F.col("toxic") == 1, F.lit(values.get(1, 1.0))).otherwise(F.lit(values.get(0, 1.0)))
 
@@ -177,7 +242,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, usable: Column, sample:
     )
     # At most about 2 * sample rows of a few numbers: the texts needn't be shuffled to find those of the sample.
     joined = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__doc"))
-    return joined.select("text", F.col("__toxic").cast("int").alias("toxic"), F.col("__weight").alias("weight"), F.col("__train").alias("train"))
+    rows = joined.select("doc_id", "text", F.col("__toxic").cast("int").alias("toxic"), F.col("__weight").alias("weight"), F.col("__train").alias("train"))
+    return rows.distinct().drop("doc_id")  # rows that repeat count once
 
 
 def segment_counts(sample: DataFrame) -> dict[bytes, tuple[int, int]]:
@@ -202,9 +268,12 @@ def dictionaries(counts: dict[bytes, tuple[int, int]], toxic_texts: int) -> Comp
     """The two dictionaries, equally long."""
     totals = [max(1, sum(c[k] for c in counts.values())) for k in (0, 1)]
     least = min(LEAST_COUNT[1], max(LEAST_COUNT[0], toxic_texts // 60))
+
     def segments(k: int) -> list[bytes]:
         ratio = {w: (c[k] + 0.5) / (c[1 - k] + 0.5) * totals[1 - k] / totals[k] for w, c in counts.items() if c[k] >= least}
-        return sorted((w for w in ratio if ratio[w] >= LEAST_RATIO), key=lambda w: (-counts[w][k], w))[:SEGMENTS]
+        found = sorted((w for w in ratio if ratio[w] >= LEAST_RATIO), key=lambda w: (-counts[w][k], w))
+        upto = np.cumsum([len(_joined([w])) for w in found])
+        return found[: int(np.searchsorted(upto, SEGMENT_BYTES, side="right"))]
 
     bad = segments(1)
     common = sorted(set(counts).difference(bad), key=lambda w: (-counts[w][0], w))  # in a small sample they would hold all words

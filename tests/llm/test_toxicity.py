@@ -1,3 +1,4 @@
+import os
 import random
 import zlib
 
@@ -72,7 +73,7 @@ def test_dictionaries_save_bytes_on_their_own_words():
     n = 4 + toxicity.STEPS
     text = "grobnaking common " * 7
     features = pair.features(text)
-    assert features[0] == 14 and features[n] == 7 and len(features) == 2 * n
+    assert features[0] == 14 and features[n] == 6 and len(features) == 2 * n
     assert features[4] == sum(pair.saved(b" " + w.encode() + b" ") >= 1 for w in text.split())
 
 
@@ -81,26 +82,69 @@ def test_short_words_are_seen_at_every_place_of_a_window(length):
     rng = random.Random(length)
     word = lambda n: bytes(rng.choice(b"abcdefghijklmnopqrstuvwxyz") for _ in range(n))
     common = [word(rng.randint(2, 9)) for _ in range(500)]
-    bad = list({word(length) for _ in range(40)})
+    bad = sorted({word(length) for _ in range(40)})
     counts = {w: (200 - i // 4, 0) for i, w in enumerate(common)} | {w: (0, 50 - i) for i, w in enumerate(bad)}
     pair = toxicity.dictionaries(counts, 600)
     assert len(pair.toxic) == len(pair.ordinary)
     assert pair.saved(b" " + bad[0] + b" ") > 0  # the most frequent one ends its dictionary
     assert sum(pair.saved(b" " + w + b" ") > 0 for w in bad) >= 0.9 * len(bad)
-    for place in range(3):
-        windows = [[rng.choice(common) for _ in range(3)] for _ in bad]
+    for place in range(toxicity.WINDOW):
+        windows = [[rng.choice(common) for _ in range(toxicity.WINDOW)] for _ in bad]
         for window, w in zip(windows, bad):
             window[place] = w
-        seen = [pair.saved(toxicity._triples(window)[0]) > 0 for window in windows]
+        seen = [pair._savings(toxicity.framed(window), toxicity.WINDOW, 1)[0] > 0 for window in windows]
         assert sum(seen) >= 0.85 * len(bad), place
     assert sum(pair.saved(b" " + w + b" ") > 0 for w in common) <= 0.05 * len(common)
 
 
-def test_a_window_starts_at_every_word():
-    words = [b"%d" % i for i in range(14)]
-    windows = toxicity._triples(words)
-    assert [w.split() for w in windows] == [words[i : i + 3] for i in range(12)]
-    assert [[w.split() for w in toxicity._triples(words[:n])] for n in range(4)] == [[[]], [words[:1]], [words[:2]], [words[:3]]]
+def test_every_word_lies_in_two_windows():
+    def windows(words, size, step):
+        text = toxicity.framed(words)
+        return [text.body[a:b] for a, b in zip(*text.windows(size, step))]
+
+    words = [b"%d" % i for i in range(15)]
+    assert [w.split() for w in windows(words, 4, 2)] == [words[i : i + 4] for i in (0, 2, 4, 6, 8, 10, 11)]
+    assert windows(words, 3, 1) == [b" %b  %b  %b " % w for w in zip(words, words[1:], words[2:])]
+    assert windows(words, 1, 1) == [b" %b " % w for w in words]
+    assert [[w.split() for w in windows(words[:n], 4, 2)] for n in range(5)] == [[[]], [words[:1]], [words[:2]], [words[:3]], [words[:4]]]
+
+
+def test_only_windows_without_a_match_are_passed_over():
+    rng = random.Random(6)
+    word = lambda n: bytes(rng.choice(b"abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    common, bad = [word(rng.randint(2, 9)) for _ in range(500)], sorted({word(rng.randint(3, 10)) for _ in range(200)})
+    counts = {w: (200 - i // 4, 0) for i, w in enumerate(common)} | {w: (0, 300 - i) for i, w in enumerate(bad)}
+    pair = toxicity.dictionaries(counts, 600)
+    words = [rng.choice(bad if rng.random() < 0.2 else common) for _ in range(3000)]
+    text = toxicity.framed(words)
+    for size in (1, 4):
+        saved = pair._savings(text, size, 1)
+        for i, (a, b) in enumerate(zip(*text.windows(size, 1))):
+            if saved[i]:
+                assert saved[i] == pair.saved(text.body[a:b])
+            elif any(w in bad for w in words[i : i + size]):
+                assert pair.saved(text.body[a:b]) == 0  # compressed, and equally long
+
+
+def test_segments_are_cut_by_bytes_alone(monkeypatch):
+    counts = {b"common%03d" % i: (90, 0) for i in range(50)} | {b"segment%04d" % i: (0, 2000 - i) for i in range(1500)}
+    assert all(b" segment%04d " % i in toxicity.dictionaries(counts, 600).toxic for i in range(1500))
+    monkeypatch.setattr(toxicity, "SEGMENT_BYTES", 150)
+    pair = toxicity.dictionaries(counts, 600)
+    assert pair.toxic[len(os.path.commonprefix([pair.toxic, pair.ordinary])) :].count(b"segment") == 10
+
+
+def test_repeated_rows_count_once(docs, labels):
+    rows, toxic = corpus(300)
+    score = lambda rows: {r.doc_id: r.score for r in classify(docs(rows), labels(list(toxic.items()))).collect()}
+    assert score(rows + rows[:30] * 20) == pytest.approx(score(rows))
+
+
+def test_a_score_column_of_its_own_is_replaced(docs, labels):
+    rows, toxic = corpus(120)
+    df = docs(rows).selectExpr("*", "5.0 as score", "1 as toxic", "2 as weight", "3 as train", "4 as held_out", "'r' as row")
+    assert classify(df, labels(list(toxic.items()))).columns == ["doc_id", "held_out", "score", "predicted"]
+    assert drop_toxic(df, labels(list(toxic.items()))).columns == df.columns
 
 
 def test_real_labels(given):
