@@ -143,9 +143,13 @@ def _runs(words: Words, ids, marks, frequent, window: int, gram: int) -> list[np
 
 
 def _listed(rows: DataFrame, *columns: str) -> DataFrame:
-    """One row per document with a list; a text has fewer entries than words."""
+    """One row per different (document, text) with a set of entries.
+
+    Rows that repeat name the same entries, so the set stays below two entries per word (a range may be a lead in one slice and
+    known to be repeated in another).
+    """
     keys = [F.col("doc").alias("__doc"), F.col("hash").alias("__hash")]
-    return rows.groupBy(*keys).agg(F.collect_list(F.struct(*columns)).alias("__list"))
+    return rows.groupBy(*keys).agg(F.collect_set(F.struct(*columns)).alias("__list"))
 
 
 def pack(found: DataFrame, keyed: DataFrame) -> DataFrame:
@@ -155,7 +159,9 @@ def pack(found: DataFrame, keyed: DataFrame) -> DataFrame:
     wanted = _listed(shared.where(~F.col("lead") | (F.col("__low") < F.col("__high"))), "bucket", "start", "n", "lead")
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for batch in batches:
+            last, batch = _new_rows(batch, last)
             data, offsets = raw(batch.column("text"))
             for a, b in slices(offsets, MAP_BYTES):
                 words = words_of(data, offsets[a : b + 1])
@@ -175,6 +181,17 @@ def pack(found: DataFrame, keyed: DataFrame) -> DataFrame:
     return keyed.join(wanted, ["__doc", "__hash"]).mapInArrow(strings, _PACKED)
 
 
+def _new_rows(batch: pa.RecordBatch, last: tuple | None) -> tuple[tuple | None, pa.RecordBatch]:
+    """The rows that differ in document or text from the one before, and the last of all: a sort has brought equal ones together."""
+    if not batch.num_rows:
+        return last, batch
+    doc, mark = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("__doc", "__hash"))
+    new = np.ones(len(doc), dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])
+    new[0] = (doc[0], mark[0]) != last
+    return (doc[-1], mark[-1]), batch if new.all() else batch.take(pa.array(np.flatnonzero(new)))
+
+
 def _groups(batches: Iterator[pa.RecordBatch], key: str, most: int) -> Iterator[pa.RecordBatch]:
     """Batches sorted by ``key``, cut anew between keys once they hold about ``most`` bytes."""
     waiting: list[pa.RecordBatch] = []

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -86,3 +87,15 @@ def test_empty_table_and_clashing_columns(docs):
     row = remove_repeats(df, window=2).orderBy("doc_id").collect()[1]
     assert (row.n_words, row.n_removed, row.kept_text, row.packed, row.doc) == (2, 2, "", "y", 1)
     assert hashlib.sha256(row.kept_text.encode()).hexdigest().startswith("e3b0")
+
+
+def test_thousands_of_equal_rows_take_time_in_proportion(docs):
+    text = " ".join("w%d" % i for i in range(400))
+    rows = [(7, text)] * 3000 + [(3, "x " + text[: len(text) // 2]), (9, text + " y"), (None, text), (None, text)]
+    start = time.perf_counter()
+    got = remove_repeats(docs(rows)).groupBy("doc_id", "n_words", "n_removed").count().collect()
+    assert time.perf_counter() - start < 90
+    first = len((text[: len(text) // 2]).split()) - 1  # its last word may be cut
+    found = {(r.doc_id, r.n_words): (r.n_removed, r["count"]) for r in got}
+    assert found[7, 400][1] == 3000 and abs(found[7, 400][0] - first) <= 1 and found[3, first + 2] == (0, 1)
+    assert found[9, 401] == (400, 1) and found[None, 400] == (400, 2)
