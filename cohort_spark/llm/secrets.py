@@ -140,9 +140,8 @@ def report(docs: DataFrame, table: list[int] | None = None) -> DataFrame:
 
 def mask(docs: DataFrame, mark: str = "[SECRET]", table: list[int] | None = None) -> DataFrame:
     """``docs`` with every span (overlapping ones as one) replaced by ``mark``; all other columns as they were."""
-    if {"base", "found"} & set(docs.columns):
-        raise ValueError("rename the columns base and found first")
-    found = scan(docs, table)
+    table = table if table is not None else train(labelled_strings(docs))
+    found = scan(docs.select(F.struct("*").alias("row"), "text"), table)
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
 
     def step(state: Column, span: Column) -> Column:
@@ -153,4 +152,5 @@ def mask(docs: DataFrame, mark: str = "[SECRET]", table: list[int] | None = None
     done = F.aggregate("found", start, step)
     rest = F.substring("text", (done["at"] + 1).cast("int"), F.length("text"))
     masked = F.when(F.size("found") > 0, F.concat(done["out"], rest))
-    return found.withColumn("text", F.coalesce(masked, F.col("text"))).select(*docs.columns)
+    found = found.withColumn("text", F.coalesce(masked, F.col("text")))
+    return found.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])

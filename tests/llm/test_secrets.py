@@ -105,3 +105,10 @@ def test_without_samples_and_rows(docs):
     assert secrets.report(docs([])).count() == 0
     row = secrets.report(docs([(None, "x " + KEYS)])).first()
     assert row.doc_id is None and row.n_assign == 0
+
+
+def test_columns_of_any_name_stay(docs, table):
+    df = docs([(1, "token=abcdefgh x"), (2, None)]).selectExpr("*", "'b' as base", "'f' as found", "1 as row", "2 as spans", "3 as n_hex")
+    got = secrets.mask(df, "#", table).orderBy("doc_id").collect()
+    assert [tuple(r)[1:] for r in got] == [("# x", "en", "s", 16, "b", "f", 1, 2, 3), (None, "en", "s", None, "b", "f", 1, 2, 3)]
+    assert secrets.report(df, table).count() == 2
