@@ -1,7 +1,7 @@
 """Logistic fits in SQL: accelerated proximal gradient steps in a recursive query.
 
 ``fit_rows(x, y, pick)`` holds the rows, ``x`` with a one at its end, and ``models(m, c, pick)`` the models; a model uses the
-rows for which ``uses`` holds.
+rows for which ``uses`` holds.  A model that sees one class only always names that class.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ def fit_sql(width: int, penalty: str = "l2", steps: int = 1500, uses: str = "tru
     else:
         new = [f"sign({x}) * greatest(abs({x}) - 1 / (c * big), 0)" for x in moved[:-1]]
     zero = ", ".join(["0.0::double"] * width)
-    return f"""sizes as (select m, any_value(s.c) as c, any_value(s.pick) as pick,
+    return f"""sizes as (select m, any_value(s.c) as c, any_value(s.pick) as pick, min(y) as low, max(y) as high,
   0.25 * sum(list_dot_product(x, x)) {"+ 1 / any_value(s.c)" if penalty == "l2" else ""} as big
   from models s join fit_rows r on {uses} group by m),
 steps(k, m, w, v, t) as (
@@ -32,7 +32,8 @@ steps(k, m, w, v, t) as (
       from (select p.k, p.m, p.w, p.v, p.t, s.c, s.big, r.x, r.y, list_dot_product(p.v, r.x) as z
         from steps p join sizes s on p.m = s.m join fit_rows r on {uses} where p.k < {steps})
       group by k, m, w, v, t, c, big)))),
-fitted as (select m, w from steps where k = {steps})"""
+fitted as (select m, case when low = high then [{", ".join(["0.0::double"] * (width - 1))}, (2 * low - 1) * 'inf'::double] else w end as w
+  from steps join sizes using (m) where k = {steps})"""
 
 
 def logit_sql(w: str = "w", x: str = "x") -> str:
