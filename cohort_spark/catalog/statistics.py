@@ -88,9 +88,19 @@ def _kde_sql(source: str, x: str, by: str, cut: float) -> str:
     from points p join heights a on a.knot = floor(place)::int {same("a")} join heights b on b.knot = floor(place)::int + 1 {same("b")}"""
 
 
-@query("kde", _kde_sql("part", "p_retailprice", "", 0.0))
+@query(
+    "kde",
+    f"""with counts as (select p_retailprice::double as x, count(*) as w from part where p_retailprice is not null group by all),
+    moments as (select count(*) as n, stddev_samp(p_retailprice) as sd, min(p_retailprice) as lo, max(p_retailprice) as hi,
+      (quantile_cont(p_retailprice, 0.75) - quantile_cont(p_retailprice, 0.25)) / 1.34 as iqr from part),
+    fit as (select *, 0.9::double * least(sd, iqr) * pow(n, -0.2) as bw from moments),
+    grid as (select *, lo + (hi - lo) * point / 511 as position from counts, fit, (select unnest(range(512))::int as point))
+    select point, {round_sql("max(position)")} as position,
+      {round_sql(f"sum(w * exp(-pow((position - x) / bw, 2) / 2) / (n * bw * {math.sqrt(2 * math.pi)!r}))", 9)} as density
+    from grid group by all""",
+)
 def _(t):
-    return rounded(rounded(explore.kde(t.part, "p_retailprice"), ["position"]), ["density"], 9)
+    return rounded(rounded(explore.kde(t.part, "p_retailprice", exact=True), ["position"]), ["density"], 9)
 
 
 @query("kde_by_group", _kde_sql("customer", "c_acctbal", "c_mktsegment", 3.0))

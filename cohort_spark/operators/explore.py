@@ -49,10 +49,11 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
     return long.select(prob.alias("prob"), "value")
 
 
-def kde(df: DataFrame, col: str, by: Sequence[str] = (), points: int = 512, cut: float = 0.0) -> DataFrame:
+def kde(df: DataFrame, col: str, by: Sequence[str] = (), points: int = 512, cut: float = 0.0, exact: bool = False) -> DataFrame:
     """Gaussian density on an even grid over the data range, widened by ``cut`` bandwidths at both ends.
 
-    Bandwidth by the rule of thumb 0.9 * min(sd, IQR / 1.34) * n^-0.2.  Equal values are counted first.  A distinct value
+    Bandwidth by the rule of thumb 0.9 * min(sd, IQR / 1.34) * n^-0.2.  Equal values are counted first.  With ``exact``, the
+    kernel of every distinct value is summed at every point, on the map side.  Without, a distinct value
     splits its weight over its two neighbours on a grid of ``points`` bins that reaches four bandwidths further, so what is
     summed from then on is at most ``points`` bins per group; kernels are summed at the bins and read off in between.
     """
@@ -70,11 +71,18 @@ def kde(df: DataFrame, col: str, by: Sequence[str] = (), points: int = 512, cut:
     fit = fit.select(
         *by, "n", "bw", (F.col("low") - cut * F.col("bw")).alias("low"), (F.col("high") + cut * F.col("bw")).alias("high")
     )
+    counts = known.groupBy(*by, "x").agg(F.count(F.lit(1)).alias("w"))
+    beside = _side_by_side(counts, fit, by, "x")
+    if exact:
+        grid = beside.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+        at = F.col("low") + (F.col("high") - F.col("low")) * F.col("point") / (points - 1)
+        z = (at - F.col("x")) / F.col("bw")
+        part = F.col("w") * F.exp(-z * z / 2) / (F.col("n") * F.col("bw") * math.sqrt(2 * math.pi))
+        return grid.groupBy(*by, "point").agg(F.max(at).alias("position"), F.sum(part).alias("density"))
     start = F.col("low") - 4 * F.col("bw")
     step = (F.col("high") + 4 * F.col("bw") - start) / (points - 1)
-    counts = known.groupBy(*by, "x").agg(F.count(F.lit(1)).alias("w"))
     place = (F.col("x") - start) / step
-    placed = _side_by_side(counts, fit, by, "x").withColumn("bin", F.floor(place)).withColumn("part", place - F.col("bin"))
+    placed = beside.withColumn("bin", F.floor(place)).withColumn("part", place - F.col("bin"))
     fitted = [F.max(c).alias(c) for c in ("n", "bw", "low", "high")]
     halves = F.array(
         F.struct(F.col("bin").alias("at"), F.sum(F.col("w") * (1 - F.col("part"))).alias("w")),

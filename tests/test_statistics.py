@@ -70,6 +70,35 @@ def test_density_is_that_of_binned_weights(frame, cut):
     assert [r[2] for r in curve] == pytest.approx(y.tolist(), abs=1e-9)
 
 
+@pytest.mark.parametrize("cut", [0, 3])
+def test_exact_density_sums_the_kernel_of_every_value(frame, cut):
+    rng = random.Random(5)
+    data = [("a", rng.gauss(0, 1) if rng.random() < 0.7 else rng.gauss(6, 0.5)) for _ in range(300)] + [("a", 2.5)] * 40
+    data += [(None, rng.expovariate(1)) for _ in range(200)] + [("a", None)]
+    got = rows(explore.kde(frame("g string, x double", data), "x", ["g"], cut=cut, exact=True), "g", "point")
+    for g in ("a", None):
+        x = np.array([v for k, v in data if k == g and v is not None])
+        bw = 0.9 * min(x.std(ddof=1), (np.quantile(x, 0.75) - np.quantile(x, 0.25)) / 1.34) * len(x) ** -0.2
+        at = np.linspace(x.min() - cut * bw, x.max() + cut * bw, 512)
+        y = np.exp(-(((at[:, None] - x) / bw) ** 2) / 2).sum(axis=1) / (len(x) * bw * np.sqrt(2 * np.pi))
+        curve = [r for r in got if r[0] == g]
+        assert [r[2] for r in curve] == pytest.approx(at.tolist())
+        assert [r[3] for r in curve] == pytest.approx(y.tolist(), rel=1e-9, abs=1e-12)
+
+
+def test_registered_density_is_exact(spark, tmp_path):
+    from __spark_entry__ import queries
+
+    rng = random.Random(6)
+    prices = [900.0, 901.5, 950.0, 2000.0] + [round(rng.uniform(900, 1100), 2) for _ in range(60)]
+    spark.createDataFrame([(p,) for p in prices], "p_retailprice double").write.parquet(str(tmp_path / "part.parquet"))
+    got = rows(queries()["kde"](spark, str(tmp_path)), "point")
+    x = np.array(prices)
+    bw = 0.9 * min(x.std(ddof=1), (np.quantile(x, 0.75) - np.quantile(x, 0.25)) / 1.34) * len(x) ** -0.2
+    y = np.exp(-(((np.linspace(x.min(), x.max(), 512)[:, None] - x) / bw) ** 2) / 2).sum(axis=1) / (len(x) * bw * np.sqrt(2 * np.pi))
+    assert [r[2] for r in got] == pytest.approx(y.tolist(), abs=2e-9)
+
+
 def test_density_of_groups_sums_bins_alone(frame):
     df = frame("g string, x double", [("a", float(i % 97)) for i in range(500)] + [("b", 3.0)] * 4 + [("c", 1.0), ("d", None)])
     curves = explore.kde(df, "x", ["g"], cut=4)
