@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -30,8 +30,12 @@ UNKNOWN = 10.0
 UNIT = 1 << 20
 _NEVER = -(1 << 62)
 MARK = "▁"
-CACHED_UNITS = 400_000
+CACHED_UNITS = 100_000
 BATCH_UNITS = 20_000
+#: Units of a block times its width: about 25 bytes each while the block is segmented.
+BLOCK_CELLS = 1 << 20
+#: Texts handled at once.
+SLICE_ROWS = 500
 TRIES = 32
 _SCHEMA = "doc_id bigint, ids binary, n_bytes bigint"
 
@@ -94,8 +98,8 @@ class Pieces:
     def __init__(self, surfaces: list[bytes], scores: np.ndarray, normal: np.ndarray, byte_ids: np.ndarray):
         self.surfaces, self.byte_ids = surfaces, byte_ids
         self.scores = np.rint(scores * UNIT).astype(np.int64)
-        keys = {s: i for i, s in enumerate(surfaces) if normal[i]}
-        self.trie = DoubleArray.build(keys)
+        self.normal = normal
+        keys = [s for s, k in zip(surfaces, normal) if k]
         self.unknown = int(self.scores[normal].min()) - round(UNKNOWN * UNIT)
         self.longest = max(map(len, keys))
         self.by_unit = all(b" " not in s.lstrip(b" ") for s in keys)
@@ -105,6 +109,11 @@ class Pieces:
         self.cache: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
+    @cached_property
+    def trie(self) -> DoubleArray:
+        """Built by the workers that encode; those that decode do without."""
+        return DoubleArray.build({s: i for i, s in enumerate(self.surfaces) if self.normal[i]})
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids (little-endian, unsigned, 32 bits) of each UTF-8 text."""
         split = [self._units(t) for t in texts]
@@ -120,7 +129,7 @@ class Pieces:
         fresh.sort(key=len)  # units of about the same length share a block
         while fresh:
             width = len(fresh[-1])
-            most = max(1, min(BATCH_UNITS, (8 << 20) // (width + 1)))
+            most = max(1, min(BATCH_UNITS, BLOCK_CELLS // (width + 1)))
             block, fresh = fresh[-most:], fresh[:-most]
             short = next((i for i, u in enumerate(block) if 2 * len(u) + 8 >= width), 0)
             block, fresh = block[short:], fresh + block[:short]
@@ -144,13 +153,13 @@ class Pieces:
     def _segment(self, units: list[bytes]) -> list[bytes]:
         """The best segmentation of each unit.  A 0xff byte stands for a written marker."""
         width = max(map(len, units))
-        codes = np.zeros((len(units), width), dtype=np.int64)
+        codes = np.zeros((len(units), width), dtype=np.uint8)
         length = np.array([len(u) for u in units])
         codes[np.arange(width)[None, :] < length[:, None]] = np.frombuffer(b"".join(units), dtype=np.uint8)
         best = np.full((len(units), width + 1), _NEVER, dtype=np.int64)
         best[:, 0] = 0
-        piece = np.full((len(units), width + 1), -1, dtype=np.int64)
-        size = np.zeros((len(units), width + 1), dtype=np.int64)
+        piece = np.full((len(units), width + 1), -1, dtype=np.int32)
+        size = np.zeros((len(units), width + 1), dtype=np.int32)
         inside = np.arange(width)[None, :] < length[:, None]
         opens = ((codes & 0xC0) != 0x80) | (codes == 0xFF)
         for i in range(width):
@@ -234,8 +243,8 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
         model = pieces(path)
         low, high = int(model.byte_ids.min()), int(model.byte_ids.max())
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
                 ids = model.encode(text_bytes(part.column(1)))
                 by_bytes = [int(((x >= low) & (x <= high)).sum()) for x in (np.frombuffer(i, dtype="<u4") for i in ids)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array(by_bytes, pa.int64())], names=["doc_id", "ids", "n_bytes"])
@@ -250,8 +259,10 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
         for batch in batches:
-            texts = [None if ids is None else model.decode(ids) for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary()).cast(pa.string())], names=[*names, "text"])
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                texts = [None if ids is None else model.decode(ids) for ids in part.column("ids").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary()).cast(pa.string())], names=[*names, "text"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
     return encoded.mapInArrow(run, f"{schema}, text string")

@@ -108,3 +108,18 @@ def test_round_trip_of_tables(docs, given):
     whole = {r.doc_id: r.decoded_crc32 for r in round_trip(given("documents")).collect()}
     assert whole == {r.doc_id: zlib.crc32(r.text.encode()) for r in given("documents").collect()}
     assert round_trip(docs([])).count() == 0
+
+
+def test_workers_stay_small(monkeypatch):
+    model = module.load(public_tokenizers.path(VOCABULARY))
+    assert model.decode(np.array([300, 301], dtype="<u4").tobytes()) and "trie" not in vars(model)  # decoding needs none
+    cells, segment = [], Pieces._segment
+
+    def seen(self, units):
+        cells.append(len(units) * (max(map(len, units)) + 1))
+        return segment(self, units)
+
+    monkeypatch.setattr(Pieces, "_segment", seen)
+    texts = [b" ".join(b"%d" % (i * 977 + j) + b"x" * 300 for j in range(100)) for i in range(60)]
+    assert [model.decode(x) for x in model.encode(texts)] == texts
+    assert max(cells) <= 1 << 20
