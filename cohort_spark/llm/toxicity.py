@@ -5,7 +5,8 @@ the segments (words) that occur in more distinct surroundings in one class than
 those of ordinary text in the other.  Counting distinct surroundings keeps copies of one text from deciding.
 Windows of one word, one for each, and of ``WINDOW`` words, one from every ``STEP``-th word on, so that each word lies in
 two of them, are compressed with both; where the toxic dictionary saves bytes, the window is closer to toxic text.  A match is at least four bytes long, and zstandard finds it by four bytes at every
-third place of a dictionary: a window without any such four bytes of the toxic segments has nothing to gain from them, and counts
+third place of a dictionary: a window without any such four bytes of the toxic segments, or with such only inside strings (of
+up to eight bytes) that the ordinary dictionary holds too, has nothing to gain from them, and counts
 as saving nothing without being compressed (what it would save or lose is down to common words that one table has lost).  zstandard finds no match in the last bytes of its input, and a single short
 match doesn't pay for its block header: so every window stands between a head and a tail that end both dictionaries.  The score is a logistic function of how many windows of a text save how many bytes, calibrated on
 labelled texts that the dictionaries were not trained on.
@@ -47,6 +48,8 @@ STRIDE = 3
 HEAD = b"<|start of window|>"
 TAIL = b"<|this is the end of window|>"
 SLICE_ROWS = 500
+#: Strings around four bytes are told apart by this many bits; two that share them only cost a compression.
+CELL_BITS = 20
 _MARKS = b".,!?;:*$%&#\"'()"
 
 
@@ -77,10 +80,22 @@ def framed(words: list[bytes]) -> Framed:
     return Framed(b" %b " % b"  ".join(words), ends - size, ends)
 
 
+def _words32(body: np.ndarray) -> np.ndarray:
+    x = body.astype(np.uint32)
+    return x[:-3] | x[1:-2] << 8 | x[2:-1] << 16 | x[3:] << 24
+
+
 def _fours(body: np.ndarray) -> np.ndarray:
     """A number below ``1 << 16`` for the four bytes from each place on."""
-    x = body.astype(np.uint32)
-    return ((x[:-3] | x[1:-2] << 8 | x[2:-1] << 16 | x[3:] << 24) * np.uint32(0x9E3779B1)) >> np.uint32(16)
+    return (_words32(body) * np.uint32(0x9E3779B1)) >> np.uint32(16)
+
+
+def _around(body: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """A number below ``1 << CELL_BITS`` for every string of four to eight bytes that holds the four bytes from a place on: a row per place."""
+    low = _words32(np.concatenate([np.zeros(4, np.uint8), body, np.zeros(8, np.uint8)])).astype(np.uint64)
+    eights = (low[:-4] | low[4:] << np.uint64(32))[places[:, None] + np.arange(4, -1, -1)]
+    strings = np.concatenate([eights[:, : size - 3] & np.uint64((1 << 8 * size) - 1) for size in range(4, 9)], axis=1)
+    return (strings * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - CELL_BITS)
 
 
 def _joined(segments: list[bytes]) -> bytes:
@@ -105,17 +120,37 @@ class Compressors:
     def __getstate__(self):
         return {"toxic": self.toxic, "ordinary": self.ordinary, "cache": {}, "older": {}, "texts": {}, "made": []}
 
-    def _matchable(self) -> np.ndarray:
-        """Which four bytes a match with a toxic segment can be found by."""
+    def _matchable(self) -> tuple[np.ndarray, np.ndarray]:
+        """Which four bytes a match with a toxic segment can be found by; and which strings around them (``_around``) hold what the
+        ordinary dictionary doesn't: strings that aren't in it, and all of eight bytes."""
         if len(self.made) < 3:
             self._both()
             first = len(os.path.commonprefix([self.toxic, self.ordinary])) // STRIDE * STRIDE
             content = np.frombuffer(self.toxic + HEAD, dtype=np.uint8)
+            places = np.arange(first, len(self.toxic), STRIDE)
             table = np.zeros(1 << 16, dtype=bool)
-            table[_fours(content)[first : len(self.toxic) : STRIDE]] = True
-            self.made.append(table)
+            table[_fours(content)[places]] = True
+            other = np.frombuffer(self.ordinary + HEAD + TAIL, dtype=np.uint8)
+            have = np.zeros(1 << CELL_BITS, dtype=bool)
+            have[_around(other, np.arange(len(other)))] = True
+            around = _around(content, places)
+            new = ~have[around]
+            new[:, -5:] = True
+            strings = np.zeros(1 << CELL_BITS, dtype=bool)
+            strings[around[new]] = True
+            self.made.append((table, strings))
         return self.made[2]
 
+    def _gains(self, body: np.ndarray) -> np.ndarray:
+        """How many places before each place of a text have something to gain."""
+        if len(body) < 4:
+            return np.zeros(len(body) + 1, dtype=np.int64)
+        fours, strings = self._matchable()
+        found = np.zeros(len(body) - 3, dtype=bool)
+        places = np.flatnonzero(fours[_fours(body)])
+        found[places[strings[_around(body, places)].any(axis=1)]] = True
+        return np.append(0, np.cumsum(found))
+
     def _both(self) -> list:
         if not self.made:
             for content in (self.toxic, self.ordinary):
@@ -154,14 +189,12 @@ class Compressors:
             known = self.texts[text] = self._features(_words(text))
         return known
 
-    def _savings(self, text: Framed, size: int, step: int) -> np.ndarray:
-        """What each window of ``size`` words saves."""
+    def _savings(self, text: Framed, size: int, step: int, found: np.ndarray | None = None) -> np.ndarray:
+        """What each window of ``size`` words saves; ``found`` are the ``_gains`` of the text, if known."""
         begins, ends = text.windows(size, step)
-        body = np.frombuffer(text.body, dtype=np.uint8)
         out = np.zeros(len(begins), dtype=np.int64)
-        if len(body) < 4:
-            return out
-        found = np.append(0, np.cumsum(self._matchable()[_fours(body)]))
+        if found is None:
+            found = self._gains(np.frombuffer(text.body, dtype=np.uint8))
         gains = np.flatnonzero(found[np.maximum(ends - 3, begins)] > found[begins])
         if size == 1:
             known, whole = self.cache.get, text.body
@@ -176,8 +209,9 @@ class Compressors:
     def _features(self, words: list[bytes]) -> list[float]:
         """The number of windows, the largest savings, and how many save 1, 2 .. bytes: of words, and of windows of several."""
         text = framed(words)
+        found = self._gains(np.frombuffer(text.body, dtype=np.uint8))
         out: list[float] = []
-        for s in (self._savings(text, 1, 1), self._savings(text, WINDOW, STEP)):
+        for s in (self._savings(text, 1, 1, found), self._savings(text, WINDOW, STEP, found)):
             top = np.sort(s)[::-1][:4]
             out += [len(s), top[0], top[:2].mean(), top.mean()]
             out += (len(s) - np.searchsorted(np.sort(s), np.arange(1, STEPS + 1), side="left")).tolist()

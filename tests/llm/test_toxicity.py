@@ -126,6 +126,24 @@ def test_only_windows_without_a_match_are_passed_over():
                 assert pair.saved(text.body[a:b]) == 0  # compressed, and equally long
 
 
+def test_windows_of_strings_that_ordinary_text_has_too_are_not_compressed():
+    rng = random.Random(7)
+    word = lambda n: bytes(rng.choice(b"abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    common = [word(rng.randint(6, 9)) for _ in range(500)]
+    bad = sorted({w[:5] + word(4) for w in common[:200]})
+    counts = {w: (200 - i // 4, 0) for i, w in enumerate(common)} | {w: (0, 300 - i) for i, w in enumerate(bad)}
+    pair = toxicity.dictionaries(counts, 600)
+    toxic, other = pair._both()
+    inputs = []
+    pair.made[0] = lambda window: inputs.append(window) or toxic(window)
+    text = toxicity.framed([rng.choice(common[:200]) for _ in range(1000)])
+    pair._savings(text, toxicity.WINDOW, 1)
+    assert len(inputs) <= 500  # of 997
+    inputs.clear()
+    pair._savings(toxicity.framed(bad), toxicity.WINDOW, 1)
+    assert len(inputs) == len(bad) - toxicity.WINDOW + 1  # of each window with bad words
+
+
 def test_segments_are_cut_by_bytes_alone(monkeypatch):
     counts = {b"common%03d" % i: (90, 0) for i in range(50)} | {b"segment%04d" % i: (0, 2000 - i) for i in range(1500)}
     assert all(b" segment%04d " % i in toxicity.dictionaries(counts, 600).toxic for i in range(1500))
