@@ -31,8 +31,8 @@ WINDOW = 50
 GRAM = 6
 #: A gram is frequent if it makes up this share of all grams or more; so there are at most 50,000 of them.
 FREQUENT = 1 / 50_000
-MAP_BYTES = 2 << 20
-BUCKET_BYTES = 4 << 20
+MAP_BYTES = 1 << 20
+BUCKET_BYTES = 2 << 20
 _NO_ID = (1 << 63) - 1
 _FOUND = "bucket bigint, doc bigint, hash bigint, start bigint, n bigint, lead boolean"
 _PACKED = "bucket bigint, packed binary, doc bigint, hash bigint, start bigint, n bigint"

@@ -99,3 +99,17 @@ def test_thousands_of_equal_rows_take_time_in_proportion(docs):
     found = {(r.doc_id, r.n_words): (r.n_removed, r["count"]) for r in got}
     assert found[7, 400][1] == 3000 and abs(found[7, 400][0] - first) <= 1 and found[3, first + 2] == (0, 1)
     assert found[9, 401] == (400, 1) and found[None, 400] == (400, 2)
+
+
+def test_buckets_and_slices_that_meet_in_memory_are_bounded():
+    import pyarrow as pa
+
+    from cohort_spark.llm import substrings
+
+    assert substrings.MAP_BYTES <= 1 << 20
+    one = lambda k: pa.RecordBatch.from_arrays([pa.array([k] * 100), pa.array([b"x" * 1000] * 100, pa.binary())], names=["bucket", "packed"])
+    out = list(substrings._groups(iter([one(k // 2) for k in range(200)]), "bucket", substrings.BUCKET_BYTES))
+    assert max(b.nbytes for b in out) <= 2.5 * (1 << 20)
+    keys = [set(b.column("bucket").to_pylist()) for b in out]
+    assert sum(map(len, keys)) == len(set().union(*keys)) == 100  # every bucket whole, in one batch
+    assert sum(b.num_rows for b in out) == 20_000
