@@ -7,7 +7,7 @@ they have fewer) with the first class of a bucket form families, and a family is
 of their own.  Groups decide the amount of work, never the result.
 
 *Matrix.*  Shingles have one global order: first by how frequent they are (a fixed-size table of levels, built from counts
-over all documents), then by hash.  Two sets of n and m shingles that link share at least ``ceil(0.85 * max(n, m))``, so
+over all shingles of all documents), then by hash.  Two sets of n and m shingles that link share at least ``ceil(0.85 * max(n, m))``, so
 the first ``n - ceil(0.85 * n) + l`` of one and as many of the other share ``l`` at least.  The matrix has a row per shingle
 and group whose members hold the shingle among those first ones; groups that share too few rows, or whose sizes can't
 link, are no candidates.
@@ -41,9 +41,8 @@ GROUP_TOKENS = 1 << 18
 GROUP_MEMBERS = 512
 EXTRA = 16
 TILE = 512
-CELLS = 1 << 20
+CELLS = 1 << 22
 FREQUENT = 8
-COUNTED = int(0.3 * 2**64)  # shingles with a larger hash come late in the order anyway
 BUCKET_TOKENS = 1 << 20
 HELD_TOKENS = 1 << 22
 STREAM_ROWS = 50_000
@@ -135,9 +134,14 @@ def reference(identity: bytes) -> int:
 # ---- shingles dealt into buckets ------------------------------------------------------------------------------
 
 
-def dealt(docs: DataFrame, buckets: int, chosen: Callable[[list[np.ndarray]], np.ndarray]) -> DataFrame:
-    """(bucket, packed): ``chosen(sets)`` gives rows of 64-bit values, the first of which is a shingle; equal rows are
-    packed once per flush."""
+def dealt(
+    docs: DataFrame,
+    buckets: int,
+    chosen: Callable[[list[np.ndarray]], np.ndarray],
+    written: Callable[[np.ndarray], bytes] = np.ndarray.tobytes,
+) -> DataFrame:
+    """(bucket, packed): ``chosen(sets)`` gives rows of 64-bit values, the first of which is a shingle; the rows of a bucket
+    are ``written`` once per flush."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[np.ndarray] = []
@@ -145,12 +149,13 @@ def dealt(docs: DataFrame, buckets: int, chosen: Callable[[list[np.ndarray]], np
 
         def flush() -> pa.RecordBatch:
             rows = np.concatenate(waiting)
-            bucket = (rows[:, 0] % np.uint64(buckets)).astype(np.int32)
+            bucket = (rows[:, 0] % np.uint64(buckets)).astype(np.min_scalar_type(buckets))  # short types sort faster
             order = np.argsort(bucket, kind="stable")
             rows, bucket = rows[order], bucket[order]
             first = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
-            packed = [rows[a:b].tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
-            return pa.RecordBatch.from_arrays([pa.array(bucket[first[:-1]], pa.int32()), pa.array(packed, pa.binary())], names=["bucket", "packed"])
+            packed = [written(rows[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+            dealt_to = pa.array(bucket[first[:-1]].astype(np.int32))
+            return pa.RecordBatch.from_arrays([dealt_to, pa.array(packed, pa.binary())], names=["bucket", "packed"])
 
         for batch in batches:
             data, offsets = raw(batch.column("text"))
@@ -170,7 +175,9 @@ def dealt(docs: DataFrame, buckets: int, chosen: Callable[[list[np.ndarray]], np
     return docs.select("text").mapInArrow(deal, "bucket int, packed binary")
 
 
-def per_bucket(rows: DataFrame, width: int, found: Callable[[np.ndarray], pa.RecordBatch], schema: str) -> DataFrame:
+def per_bucket(
+    rows: DataFrame, width: int, found: Callable[[np.ndarray], pa.RecordBatch], schema: str, kind: type = np.uint64
+) -> DataFrame:
     """Bring the packed rows of each bucket together, one bucket at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,12 +185,12 @@ def per_bucket(rows: DataFrame, width: int, found: Callable[[np.ndarray], pa.Rec
         for batch in batches:
             for bucket, packed in zip(batch.column("bucket").to_pylist(), batch.column("packed").to_pylist()):
                 if bucket != now and parts:
-                    yield found(np.frombuffer(b"".join(parts), dtype=np.uint64).reshape(-1, width))
+                    yield found(np.frombuffer(b"".join(parts), dtype=kind).reshape(-1, width))
                     parts = []
                 now = bucket
                 parts.append(packed)
         if parts:
-            yield found(np.frombuffer(b"".join(parts), dtype=np.uint64).reshape(-1, width))
+            yield found(np.frombuffer(b"".join(parts), dtype=kind).reshape(-1, width))
 
     return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
 
@@ -191,21 +198,26 @@ def per_bucket(rows: DataFrame, width: int, found: Callable[[np.ndarray], pa.Rec
 def levels(docs: DataFrame, buckets: int) -> np.ndarray:
     """A table of ``CELLS`` bytes: the level of the most frequent shingle that falls into a cell.
 
-    Any table gives exact results, because a shingle's level depends on the shingle alone.  If more than half of the cells
+    Every shingle is counted, so one that very many documents hold comes last in all of them.  A bucket gets the upper halves
+    of its shingles; two that are equal there count together.  Any table gives exact results, because a shingle's level
+    depends on the shingle alone.  If more than half of the cells
     would be taken, the lowest levels are given up, so that the rest still tells frequent shingles from rare ones.
     """
 
-    def counted(sets: list[np.ndarray]) -> np.ndarray:
-        every = np.concatenate(sets)
-        return every[every < np.uint64(COUNTED)][:, None]
+    def every(sets: list[np.ndarray]) -> np.ndarray:
+        return np.concatenate(sets)[:, None]
+
+    def upper(rows: np.ndarray) -> bytes:
+        return (rows >> np.uint64(32)).astype(np.uint32).tobytes()
 
     def frequent(rows: np.ndarray) -> pa.RecordBatch:
-        shingles, often = np.unique(rows[:, 0], return_counts=True)
-        shingles, often = shingles[often >= FREQUENT], often[often >= FREQUENT]
-        cell, level = (shingles % np.uint64(CELLS)).astype(np.int32), np.log2(often).astype(np.int32)
+        halves, often = np.unique(rows, return_counts=True)
+        halves, often = halves[often >= FREQUENT], often[often >= FREQUENT]
+        cell, level = (halves % np.uint32(CELLS)).astype(np.int32), np.log2(often).astype(np.int32)
         return pa.RecordBatch.from_arrays([pa.array(cell), pa.array(level)], names=["cell", "level"])
 
-    found = per_bucket(dealt(docs, buckets, counted), 1, frequent, "cell int, level int").groupBy("cell").agg(F.max("level").alias("level"))
+    counted = per_bucket(dealt(docs, buckets, every, upper), 1, frequent, "cell int, level int", np.uint32)
+    found = counted.groupBy("cell").agg(F.max("level").alias("level"))
     cells = found.toArrow()  # one row per cell at most
     table = np.zeros(CELLS, dtype=np.uint8)
     table[cells.column("cell").to_numpy()] = cells.column("level").to_numpy()
@@ -221,7 +233,7 @@ def matrix(docs: DataFrame, groups: DataFrame, table: np.ndarray, buckets: int)
     def first(sets: list[np.ndarray]) -> np.ndarray:
         out = []
         for s in sets:
-            level = table[(s % np.uint64(CELLS)).astype(np.int64)]
+            level = table[((s >> np.uint64(32)) % np.uint64(CELLS)).astype(np.int64)]
             head = s[np.argsort(level, kind="stable")[: int(first_shingles(len(s)))]]
             ref = np.full(len(head), np.int64(reference(set_id(s))).view(np.uint64))
             out.append(np.stack([head, ref], axis=1))

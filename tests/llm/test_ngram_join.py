@@ -4,6 +4,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cohort_spark.llm import ngram_join
 from cohort_spark.llm.ngram_join import first_shingles, least_shared, surplus
@@ -85,6 +86,22 @@ def test_passage_in_every_document(docs):
     assert got(ngram_join.ngram_join(docs(rows))) == brute(rows)
 
 
+def test_frequent_shingles_come_last_whatever_their_hash(docs, monkeypatch):
+    """Half of every text is one passage: its shingles lie in all groups, and none of them is among the first ones."""
+    monkeypatch.setattr(ngram_join, "LEAST_KEYS", 16)  # no families: every class meets the others by the matrix alone
+    rng = random.Random(11)
+    passage = " ".join("p%d" % i for i in range(60))
+    rows = [(i, passage + " " + " ".join("w%d" % rng.randrange(10**7) for _ in range(60))) for i in range(200)]
+    rows += [(200 + i, rows[i][1] + " end") for i in range(20)]
+    df = docs(rows)
+    classes = ngram_join.sketches(df).withColumn("first_doc", F.col("doc_id"))
+    groups = ngram_join.in_groups(classes)
+    assert groups.select("gid").distinct().count() > 200
+    matrix = ngram_join.matrix(df, groups, ngram_join.levels(df, 64), 64)
+    assert matrix.groupBy("shingle").count().agg(F.max("count")).first()[0] < ngram_join.FREQUENT
+    assert got(ngram_join.ngram_join(df)) == brute(rows)
+
+
 def test_repeated_rows_clashing_columns_and_empty_table(docs):
     text = " ".join("w%d" % i for i in range(30))
     rows = [(1, text)] * 200 + [(2, text + " x"), (2, "lone words here"), (3, ""), (4, None), (None, text), (None, None)]
