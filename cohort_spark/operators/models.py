@@ -6,6 +6,7 @@ import itertools
 import random
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import PCA, PCAModel
@@ -15,6 +16,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohort_spark.operators import forest
 from cohort_spark.operators.aggregate import sample_rows
 from cohort_spark.operators.logistic import LogisticModel, Setting, fit_many, scored_out
 from cohort_spark.operators.metrics import auroc, evaluate
@@ -109,7 +111,26 @@ def random_search_forest(
     every = list(itertools.product(*space.values()))
     drawn = random.Random(seed).sample(every, min(draws, len(every)))
     grid = [{estimator.getParam(n): v for n, v in zip(space, values)} for values in drawn]
-    return _search(df, estimator, grid, label, folds, parallelism, list(space))
+    named = [dict(zip(space, values)) for values in drawn]
+    if not all(_shares_passes(s) for s in named):
+        return _search(df, estimator, grid, label, folds, parallelism, list(space))
+    width = df.select(F.size(vector_to_array("features"))).first()
+    settings = [
+        forest.Setting(s["numTrees"], s["maxDepth"], s["minInstancesPerNode"], forest.features_per_node(s["featureSubsetStrategy"], width[0] if width else 1))
+        for s in named
+    ]
+    scores = forest.search_scores(df, settings, label, folds, seed)
+    best = estimator.copy(grid[scores.index(max(scores))]).fit(df)
+    columns = {n: [str(s[n]) for s in named] for n in space}
+    return best, df.sparkSession.createDataFrame(pa.table({**columns, "auroc": pa.array(scores, pa.float64())}))
+
+
+def _shares_passes(setting: Mapping) -> bool:
+    """Whether ``forest`` grows what is asked for; all else is left to Spark ML."""
+    return (
+        setting.keys() == FOREST_SPACE.keys() and setting["numTrees"] > 1 and 0 < setting["maxDepth"] <= 30
+        and setting["featureSubsetStrategy"] in ("sqrt", "log2")
+    )
 
 
 def label_scarcity_sweep(
